@@ -5,6 +5,7 @@ from __future__ import annotations
 from corvane.plans import (  # noqa: F401
     file_queries,
     graph_queries,
+    model_queries,
     privacy_queries,
     score_queries,
     text_queries,
