@@ -10,6 +10,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window, functions as F
 
+from corvane.operators.fits import fit_each
 from corvane.operators.neighbours import nearest_neighbours
 
 MAX_MICRO = 200
@@ -21,9 +22,11 @@ def with_features(df: DataFrame, vector: str, output: str = "features") -> DataF
 
 def fit_kmeans(df: DataFrame, k: int, restarts: int = 1, seed: int = 1, iterations: int = 300, tol: float = 1e-4):
     """Best of several starts by training cost; ``df`` has a ``features`` column."""
-    models = [
-        KMeans(k=k, initMode="k-means||", maxIter=iterations, tol=tol, seed=seed + i).fit(df) for i in range(restarts)
-    ]
+    models = fit_each(
+        df.sparkSession,
+        lambda i: KMeans(k=k, initMode="k-means||", maxIter=iterations, tol=tol, seed=seed + i).fit(df),
+        range(restarts),
+    )
     return min(models, key=lambda m: m.summary.trainingCost)
 
 

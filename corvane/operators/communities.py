@@ -9,37 +9,40 @@ from corvane.operators.graph_stats import modularity, symmetric
 from corvane.operators.ranking import running_totals
 
 
-def _local_moves(both, degrees, labels, two_m: float, resolution: float, half: int, seed: int) -> DataFrame:
+def _local_moves(both, labels, two_m: float, resolution: float, half: int, seed: int) -> DataFrame:
     """Move one hashed half of the nodes to the neighbouring community with the best gain.
 
-    Only half of the nodes move at a time, so that two neighbours cannot keep swapping.
+    Only half of the nodes move at a time, and a lone node joins another lone node only towards
+    the lower label (Lu et al., 2015), so that two neighbours cannot keep swapping.
+    ``labels`` is (id, community, k) with the degree k.
     """
-    placed = labels.join(degrees, "id")
-    totals = placed.groupBy("community").agg(F.sum("k").alias("tot"))
-    toward = (
-        both.join(labels.select(F.col("id").alias("dst"), "community"), "dst")
-        .groupBy(F.col("src").alias("id"), "community")
-        .agg(F.sum("w").alias("k_in"))
+    totals = labels.groupBy("community").agg(F.sum("k").alias("tot"), F.count("*").alias("n"))
+    toward = both.join(labels.select(F.col("id").alias("dst"), "community"), "dst").select(
+        F.col("src").alias("id"), "community", "w"
     )
-    stay = placed.select("id", "community", F.lit(0.0).alias("k_in"))
+    stay = labels.select("id", "community", F.lit(0.0).alias("w"))
     options = (
         toward.unionByName(stay)
         .groupBy("id", "community")
-        .agg(F.sum("k_in").alias("k_in"))
+        .agg(F.sum("w").alias("k_in"))
         .join(totals, "community")
-        .join(placed.select("id", "k", F.col("community").alias("own")), "id")
+        .join(labels.select("id", "k", F.col("community").alias("own")), "id")
     )
-    others = F.col("tot") - F.when(F.col("community") == F.col("own"), F.col("k")).otherwise(0.0)
+    home = F.col("community") == F.col("own")
+    others = F.col("tot") - F.when(home, F.col("k")).otherwise(0.0)
     gain = F.round(F.col("k_in") - F.lit(resolution) * F.col("k") * others / F.lit(two_m), 9)
     best = options.withColumn("gain", gain).groupBy("id").agg(
-        F.min(F.struct((-F.col("gain")).alias("loss"), F.col("community"))).alias("best"),
-        F.max(F.when(F.col("community") == F.col("own"), F.col("gain"))).alias("stay_gain"),
-        F.first("own").alias("own"),
+        F.min(F.struct((-F.col("gain")).alias("loss"), F.col("community"), F.col("n"))).alias("best"),
+        F.max(F.when(home, F.struct("gain", "own", "k", "n"))).alias("stay"),
     )
-    moves = (-F.col("best.loss") > F.col("stay_gain")) & (
-        F.pmod(F.xxhash64(F.lit(seed), F.col("id")), F.lit(2)) == half
+    swaps = (F.col("best.n") == 1) & (F.col("stay.n") == 1) & (F.col("best.community") > F.col("stay.own"))
+    turn = F.pmod(F.xxhash64(F.lit(seed), F.col("id")), F.lit(2)) == half
+    moves = (-F.col("best.loss") > F.col("stay.gain")) & ~swaps & turn
+    return best.select(
+        "id",
+        F.when(moves, F.col("best.community")).otherwise(F.col("stay.own")).alias("community"),
+        F.col("stay.k").alias("k"),
     )
-    return best.select("id", F.when(moves, F.col("best.community")).otherwise(F.col("own")).alias("community"))
 
 
 def _score(edges, labels, resolution) -> float:
@@ -53,11 +56,13 @@ def louvain(
     resolution: float = 1.0,
     max_levels: int = 8,
     max_rounds: int = 12,
+    min_gain: float = 3e-3,
     seed: int = 7,
 ) -> DataFrame:
     """Community of every node at every level, as (id, level, community).
 
-    The best labels seen are kept, so modularity never falls from one level to the next.
+    The best labels seen are kept, so modularity never falls from one level to the next; a level
+    ends when a round gains less than ``min_gain``.
     """
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
     level_edges = cut(edges.select("src", "dst", w.alias("w")), "edges")
@@ -72,20 +77,23 @@ def louvain(
     for level in range(1, max_levels + 1):
         both = cut(symmetric(level_edges.filter("src <> dst")), "both")
         ends = symmetric(level_edges).groupBy(F.col("src").alias("id")).agg(F.sum("w").alias("k"))
-        degrees = cut(
-            level_nodes.join(ends, "id", "left").select("id", F.coalesce("k", F.lit(0.0)).alias("k")), "degrees"
+        labels = best = cut(
+            level_nodes.join(ends, "id", "left").select(
+                "id", F.col("id").alias("community"), F.coalesce("k", F.lit(0.0)).alias("k")
+            ),
+            "labels",
         )
-        labels = best = level_nodes.select("id", F.col("id").alias("community"))
         best_quality = quality
         for turn in range(max_rounds):
             for half in (0, 1):
-                labels = _local_moves(both, degrees, labels, two_m, resolution, half, seed + turn)
-            labels = cut(labels, "labels")
+                labels = cut(_local_moves(both, labels, two_m, resolution, half, seed + turn), "labels")
             now = _score(level_edges, labels, resolution)
-            if now <= best_quality + 1e-9:
+            gained = now - best_quality
+            if gained > 0:
+                best, best_quality = labels, now
+            if gained < min_gain:
                 break
-            best, best_quality = labels, now
-        if best_quality <= quality + 1e-9:
+        if best_quality <= quality:
             break
         quality = best_quality
         member = cut(

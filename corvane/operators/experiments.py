@@ -19,6 +19,7 @@ from corvane.operators import scores
 from corvane.operators.classifiers import dense_network, grid_search, knn_classify, linear_svm
 from corvane.operators.clusters import cluster
 from corvane.operators.features import assign_folds, oversample, stratified_holdout
+from corvane.operators.fits import fit_each
 from corvane.operators.neighbours import (
     centre_distances,
     centroids,
@@ -37,13 +38,14 @@ def repeated_holdout(df: DataFrame, key: str, label: str, runs: int, fraction: f
 
 def _cluster_runs(table: DataFrame, key: str, vector: str, algorithm: str, runs: int, k: int, seed: int, **o):
     """(run, key, cluster) of the training rows of every run."""
-    parts = []
-    for run in range(1, runs + 1):
+
+    def one(run: int) -> DataFrame:
         train = table.filter((F.col("run") == run) & (F.col("split") == "train")).select(key, vector)
         options = {**o, **({} if algorithm in ("spectral",) else {"seed": seed + run})}
         labels = cluster(train, key, vector, algorithm, k, **options)
-        parts.append(labels.select(F.lit(run).alias("run"), key, F.col("label").alias("cluster")))
-    return reduce(DataFrame.unionByName, parts)
+        return labels.select(F.lit(run).alias("run"), key, F.col("label").alias("cluster"))
+
+    return reduce(DataFrame.unionByName, fit_each(table.sparkSession, one, range(1, runs + 1)))
 
 
 def majority_experiment(
@@ -174,14 +176,15 @@ def cluster_as_label(
     code = inverted(F.col("label")) if inverse else F.col("label")
     labelled = df.select(key, vector, truth).join(labels.select(key, code.alias("cluster")), key)
     table = cut(assign_folds(labelled, [key], folds, seed), "folds")
-    parts = []
-    for fold in range(folds):
+
+    def one(fold: int) -> DataFrame:
         train = cut(oversample(table.filter(F.col("fold") != fold), [key], "cluster", 0, 1, seed), "train")
         test = table.filter(F.col("fold") == fold).withColumn("copy", F.lit(0))
         rows = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
         predicted = _predict(model, train, rows, key, vector, tune, seed)
-        parts.append(predicted.select(F.lit(fold).alias("fold"), "split", key, "predicted"))
-    scored = reduce(DataFrame.unionByName, parts).join(table.select(key, truth), key)
+        return predicted.select(F.lit(fold).alias("fold"), "split", key, "predicted")
+
+    scored = reduce(DataFrame.unionByName, fit_each(table.sparkSession, one, range(folds))).join(table.select(key, truth), key)
     return _mean_by_split(scored, truth, "predicted", ["fold"])
 
 

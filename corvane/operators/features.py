@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import MinMaxScaler, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corvane.operators.ranking import hash_rank
@@ -99,6 +100,12 @@ def fit_minmax(train: DataFrame, column: str = "features", output: str = "scaled
     return MinMaxScaler(inputCol=column, outputCol=output).fit(train)
 
 
+def clipped(df: DataFrame, column: str) -> DataFrame:
+    """Scaled vectors held inside [0, 1]; unseen rows can lie outside the range of the training rows."""
+    held = F.transform(vector_to_array(column), lambda x: F.least(F.greatest(x, F.lit(0.0)), F.lit(1.0)))
+    return df.withColumn(column, array_to_vector(held))
+
+
 def scaled_columns(df: DataFrame, columns: Sequence[str], train: Column | None = None) -> DataFrame:
     """Scale plain columns to [0, 1] by the range of the training rows; a constant column gives 0."""
     inside = F.lit(True) if train is None else train

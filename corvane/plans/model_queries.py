@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from corvane.functions import text as t
 from corvane.functions.keyed_random import uniform_sql
+from corvane.lineage import cut
 from corvane.operators import classifiers, clusters, communities, experiments, features, neighbours as nn, scores, vectors
 from corvane.plans.registry import query
 from corvane.plans.tables import binary_embeddings, entity_dictionary, mention_graph, table
@@ -225,7 +226,8 @@ def _split_features(spark, folder):
     wide = clusters.with_features(marked, "v").select("vec_id", F.col("truth").cast("double").alias("label"), "split", "features")
     train, test = features.only_split(wide, "train"), features.only_split(wide, "test")
     scaler = features.fit_minmax(train)
-    return tuple(scaler.transform(d).drop("features").withColumnRenamed("scaled", "features").persist() for d in (train, test))
+    scaled = [scaler.transform(d).drop("features").withColumnRenamed("scaled", "features") for d in (train, test)]
+    return tuple(cut(features.clipped(d, "features"), "scaled") for d in scaled)
 
 
 @query("model_compare")
