@@ -17,6 +17,11 @@ PLAIN = "eeeaaoiu"
 WORD = r"\p{L}\p{N}_"
 SPACE = r"\s\p{Z}\x0b\x1c-\x1f\x85"
 NOT_WORD = rf"[^{WORD}]"
+# The characters of the class SPACE.
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+    "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 PUNCTUATION = r"[!-/:-@\[-`{-~]"
 
 # Abbreviations that do not end a sentence.
@@ -46,7 +51,7 @@ def fold_accents_drop_commas(c: Column) -> Column:
 
 
 def strip_ends(c: Column) -> Column:
-    return F.regexp_replace(c, rf"^[{SPACE}]+|[{SPACE}]+$", "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def clean_text(c: Column) -> Column:
@@ -114,21 +119,16 @@ def vector_filters(length: int = 4) -> list:
     return [lowered, keep_long_words(length), collapse_blanks, strip_tags, strip_non_alphanumeric]
 
 
-def abbreviation_pattern(abbreviations: Iterable[str]) -> str:
-    """Matches an abbreviation and its period in front of a break mark."""
-    escaped = "|".join(a.replace(".", r"\.") for a in sorted(set(abbreviations)))
-    return rf"(?i)(^|{NOT_WORD})({escaped})\.{BREAK}"
-
-
 def sentences(c: Column, abbreviations: Iterable[str] = ABBREVIATIONS) -> Column:
-    """Split after ``.``, ``!`` or ``?`` before a capital, except after an abbreviation."""
+    """Split after ``.``, ``!`` or ``?`` before a capital, except after an abbreviation.
+
+    Candidate breaks are marked first; only at a mark is the word before it compared with the list.
+    """
     marked = F.regexp_replace(c, r"([.!?][\"')\]]*)(\s+[\"'(\[]*\p{Lu})", f"$1{BREAK}$2")
-    listed = list(abbreviations)
+    listed = "|".join(a.replace(".", r"\.") for a in sorted(set(abbreviations)))
     if listed:
-        marked = F.regexp_replace(marked, abbreviation_pattern(listed), "$1$2.")
-    return F.filter(
-        F.transform(F.split(marked, BREAK), strip_ends), lambda s: F.length(s) > 0
-    )
+        marked = F.regexp_replace(marked, rf"{BREAK}(?<=(?:^|{NOT_WORD})(?i:{listed})\.{BREAK})", "")
+    return F.filter(F.transform(F.split(marked, BREAK), strip_ends), lambda s: F.length(s) > 0)
 
 
 def join_compounds(c: Column, names: Iterable[str]) -> Column:

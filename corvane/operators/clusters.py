@@ -91,8 +91,9 @@ def merge_cells(summaries: Sequence, k: int) -> dict[int, int]:
 
 
 def _relabel(df: DataFrame, key: str, cell: str, mapping: dict[int, int]) -> DataFrame:
-    table = F.create_map(*[F.lit(x) for pair in sorted(mapping.items()) for x in pair])
-    return df.select(key, F.get(F.map_values(F.map_filter(table, lambda c, _: c == F.col(cell))), 0).alias("label"))
+    """Labels by position in a literal array of at most ``MAX_MICRO`` entries; empty cells never occur in rows."""
+    table = F.array(*[F.lit(mapping.get(i, 0)) for i in range(max(mapping) + 1)])
+    return df.select(key, F.get(table, F.col(cell)).alias("label"))
 
 
 def ward(df: DataFrame, key: str, vector: str, k: int = 2, micro: int = 100, seed: int = 1) -> DataFrame:

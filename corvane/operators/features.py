@@ -42,10 +42,6 @@ def sample_rows(df: DataFrame, keys: Sequence[str], n: int, seed: int) -> DataFr
     return hash_rank(df, keys, seed).filter(F.col("rank") <= n).drop("rank")
 
 
-def _class_counts(df: DataFrame, label: str) -> DataFrame:
-    return df.groupBy(F.col(label).alias("__label")).agg(F.count("*").alias("__class_n"))
-
-
 def stratified_holdout(
     df: DataFrame, keys: Sequence[str], label: str, fraction: float, seed: int, rounding: str = "even"
 ) -> DataFrame:
@@ -55,10 +51,8 @@ def stratified_holdout(
     """
     wanted = F.col("__class_n") * F.lit(fraction)
     wanted = F.bround(wanted) if rounding == "even" else F.ceil(wanted)
-    ranked = hash_rank(df, keys, seed, by=[label])
-    return ranked.join(
-        _class_counts(df, label), F.col(label).eqNullSafe(F.col("__label"))
-    ).select(*df.columns, F.when(F.col("rank") <= wanted, "test").otherwise("train").alias("split"))
+    ranked = hash_rank(df, keys, seed, by=[label], total="__class_n")
+    return ranked.select(*df.columns, F.when(F.col("rank") <= wanted, "test").otherwise("train").alias("split"))
 
 
 def assign_folds(df: DataFrame, keys: Sequence[str], folds: int, seed: int) -> DataFrame:

@@ -38,21 +38,30 @@ def hash_rank(
     seed: int,
     by: Sequence[str] = (),
     name: str = "rank",
-    slices: int = 1024,
+    slices: int | None = None,
+    total: str | None = None,
 ) -> DataFrame:
     """Add the 1-based rank of every row in a seeded random order, within the ``by`` columns.
 
     The draws are uniform, so slicing [0, 1) evenly splits even a single huge class: rows are
-    ranked inside (class, slice) and shifted by the sizes of the slices before theirs.
+    ranked inside (class, slice) and shifted by the sizes of the slices before theirs. By default
+    there are several slices per shuffle partition. ``total`` names a column for the class size.
     """
+    slices = slices or max(1024, 8 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     drawn = df.withColumn("__u", uniform(seed, *keys)).withColumn(
         "__slice", F.floor(F.col("__u") * slices).cast("int")
     )
     part = [*by, "__slice"]
-    earlier = Window.partitionBy(*by).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = drawn.groupBy(*part).agg(F.count("*").alias("__n")).select(
-        *[F.col(c).alias(f"__k{i}") for i, c in enumerate(part)],
-        F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__shift"),
+    whole = Window.partitionBy(*by)
+    earlier = whole.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per class and slice, written so that its size is known when the rows are joined
+    shifts = cut(
+        drawn.groupBy(*part).agg(F.count("*").alias("__n")).select(
+            *[F.col(c).alias(f"__k{i}") for i, c in enumerate(part)],
+            F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__shift"),
+            F.sum("__n").over(whole).alias("__total"),
+        ),
+        "shifts",
     )
     inside = Window.partitionBy(*part).orderBy("__u", *keys)
     ranked = drawn.withColumn("__r", F.row_number().over(inside))
@@ -60,5 +69,7 @@ def hash_rank(
     for i, c in enumerate(part):
         match = match & F.col(c).eqNullSafe(F.col(f"__k{i}"))
     return ranked.join(shifts, match).select(
-        *df.columns, (F.col("__r") + F.col("__shift")).cast("bigint").alias(name)
+        *df.columns,
+        (F.col("__r") + F.col("__shift")).cast("bigint").alias(name),
+        *([F.col("__total").alias(total)] if total else []),
     )

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from corvane.lineage import cut
 from corvane.operators.ranking import running_totals
 
 
@@ -22,13 +23,19 @@ def _same(left: str, right: str, columns: Sequence[str]) -> Column:
 
 
 def keep_classes(df: DataFrame, classes: DataFrame, qi: Sequence[str]) -> DataFrame:
-    """The rows whose class is listed."""
-    return df.alias("r").join(classes.select(*qi).alias("c"), _same("r", "c", qi), "left_semi")
+    """The rows whose class is listed.
+
+    The classes are written first, so that Spark knows their size when it plans: a small table is
+    broadcast and the rows stay where they are, a large one is joined by shuffle.
+    """
+    listed = cut(classes.select(*qi), "classes")
+    return df.alias("r").join(listed.alias("c"), _same("r", "c", qi), "left_semi")
 
 
 def drop_classes(df: DataFrame, classes: DataFrame, qi: Sequence[str]) -> DataFrame:
     """The rows whose class is not listed."""
-    return df.alias("r").join(classes.select(*qi).alias("c"), _same("r", "c", qi), "left_anti")
+    listed = cut(classes.select(*qi), "classes")
+    return df.alias("r").join(listed.alias("c"), _same("r", "c", qi), "left_anti")
 
 
 def class_sizes(df: DataFrame, qi: Sequence[str], sensitive: str | None = None) -> DataFrame:
@@ -39,7 +46,7 @@ def class_sizes(df: DataFrame, qi: Sequence[str], sensitive: str | None = None)
 
 def attach_class_size(df: DataFrame, qi: Sequence[str]) -> DataFrame:
     """Every row with the size of its class."""
-    sizes = df.groupBy(*qi).agg(F.count("*").alias("class_size"))
+    sizes = cut(df.groupBy(*qi).agg(F.count("*").alias("class_size")), "classes")
     return df.alias("r").join(sizes.alias("c"), _same("r", "c", qi)).select("r.*", "c.class_size")
 
 
@@ -49,13 +56,6 @@ def class_histogram(df: DataFrame, qi: Sequence[str], sensitive: str, weighting:
     return df.groupBy(*qi, sensitive).agg(n.alias("n"))
 
 
-def class_maps(df: DataFrame, qi: Sequence[str], sensitive: str) -> DataFrame:
-    """Class histogram as one map per class; a class holds as many entries as distinct values."""
-    entry = F.struct(F.col(sensitive).cast("string").alias("key"), F.col("n").alias("value"))
-    histogram = class_histogram(df.filter(F.col(sensitive).isNotNull()), qi, sensitive)
-    return histogram.groupBy(*qi).agg(F.map_from_entries(F.sort_array(F.collect_list(entry))).alias("counts"))
-
-
 def k_anonymous(df: DataFrame, qi: Sequence[str], k: int = 2) -> DataFrame:
     small = df.groupBy(*qi).agg(F.count("*").alias("n")).filter(F.col("n") < k)
     return drop_classes(df, small, qi)
@@ -70,7 +70,10 @@ def l_diverse(df: DataFrame, qi: Sequence[str], sensitive: str, l: int = 2) -> D
 
 def distribution(df: DataFrame, sensitive: str) -> DataFrame:
     """Share of every sensitive value in the table."""
-    counts = df.groupBy(sensitive).agg(F.count("*").alias("n"))
+    return _shares(df.groupBy(sensitive).agg(F.count("*").alias("n")), sensitive)
+
+
+def _shares(counts: DataFrame, sensitive: str) -> DataFrame:
     total = counts.agg(F.sum("n")).scalar()
     return counts.select(sensitive, "n", (F.col("n") / total).alias("share"))
 
@@ -89,10 +92,12 @@ def class_stats(
     weighting: str = "count",
 ) -> DataFrame:
     """Size, distinct sensitive values and divergence from the baseline, per class."""
-    weighted = class_histogram(df, qi, sensitive).withColumn(
-        "w", F.col("n") if weighting == "count" else F.lit(1).cast("bigint")
-    )
-    base = distribution(df, sensitive) if baseline is None else baseline
+    histogram = class_histogram(df, qi, sensitive)
+    weighted = histogram.withColumn("w", F.col("n") if weighting == "count" else F.lit(1).cast("bigint"))
+    # the table's own distribution is a sum over the same histogram, whose shuffle Spark reuses
+    base = baseline
+    if base is None:
+        base = _shares(histogram.groupBy(sensitive).agg(F.sum("n").alias("n")), sensitive)
     joined = weighted.alias("r").join(
         base.select(F.col(sensitive), "share").alias("c"), _same("r", "c", [sensitive]), "left"
     )
@@ -138,8 +143,7 @@ def release(
     weighting: str = "count",
 ) -> DataFrame:
     """All three tests in one pass: each removes whole classes, so one class table serves all."""
-    base = distribution(df, sensitive) if baseline is None else baseline
-    stats = class_stats(df, qi, sensitive, base, weighting)
+    stats = class_stats(df, qi, sensitive, baseline, weighting)
     kept = stats.filter((F.col("n") >= k) & (F.col("n_distinct") >= l) & (F.col("kl") <= t))
     return keep_classes(df, kept, qi)
 
@@ -212,7 +216,7 @@ def label_codes(df: DataFrame, column: str) -> DataFrame:
 def label_encode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace every column by its codes."""
     for c in columns:
-        codes = label_codes(df, c).withColumnRenamed(c, "__value")
+        codes = cut(label_codes(df, c).withColumnRenamed(c, "__value"), "codes")
         df = (
             df.alias("r")
             .join(codes.alias("c"), F.col(f"r.{c}").eqNullSafe(F.col("c.__value")), "left")

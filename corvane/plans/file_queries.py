@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from corvane.functions import person, vectors as vec
 from corvane.lineage import fresh_path
 from corvane.operators import features, vectors
+from corvane.operators.neighbours import vector_widths
 from corvane.plans.registry import query
 from corvane.plans.tables import persons, table
 from corvane.functions.text import split_words
@@ -183,17 +185,35 @@ def flatten_vectors(spark, folder):
     n = F.size("embedding")
     return rows.select(
         "vec_id",
-        vec.width(F.col("v")).alias("width"),
+        vec.width(F.col("v")).cast("bigint").alias("width"),
         F.round(F.get("v", n * 2 - 1).cast("double"), 6).alias("first_value"),
         F.round(F.get("v", n - 1).cast("double"), 6).alias("last_value"),
     )
 
 
+@query(
+    "feature_matrix",
+    """SELECT l_orderkey, l_linenumber, round(l_quantity + l_extendedprice + l_discount + l_tax, 4) AS total, 4 AS width
+       FROM lineitem""",
+)
+def feature_matrix(spark, folder):
+    """All columns but the keys as one feature vector."""
+    rows = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"
+    )
+    columns = features.feature_columns(rows, "l_orderkey", "l_linenumber")
+    v = vector_to_array("features")
+    return features.assemble(rows, columns).select(
+        "l_orderkey",
+        "l_linenumber",
+        F.round(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x), 4).alias("total"),
+        F.size(v).alias("width"),
+    )
+
+
 @query("vector_width", "SELECT len(embedding) AS width, count(*) AS n FROM embeddings GROUP BY 1")
 def vector_width(spark, folder):
-    from corvane.operators.neighbours import vector_widths
-
-    return vector_widths(table(spark, folder, "embeddings"), "embedding")
+    return vector_widths(table(spark, folder, "embeddings"), "embedding").withColumn("width", F.col("width").cast("bigint"))
 
 
 @query(

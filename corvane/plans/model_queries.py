@@ -9,7 +9,7 @@ from corvane.functions.keyed_random import uniform_sql
 from corvane.lineage import cut
 from corvane.operators import classifiers, clusters, communities, experiments, features, neighbours as nn, scores, vectors
 from corvane.plans.registry import query
-from corvane.plans.tables import binary_embeddings, entity_dictionary, mention_graph, table
+from corvane.plans.tables import binary_embeddings, documents, entity_dictionary, mention_graph, table
 
 SEED = 31
 
@@ -129,7 +129,7 @@ def _tokens(spark, folder):
     """Sentences of the documents as words, accents folded, compounds joined."""
     names = [r.alias for r in entity_dictionary(spark, folder).select("alias").collect()]
     text = t.join_compounds(F.lower(t.fold_accents_drop_commas(t.paragraph_breaks_to_blank(F.col("sentence")))), names)
-    sentences = table(spark, folder, "documents").select("doc_id", F.explode(t.sentences(F.col("text"))).alias("sentence"))
+    sentences = documents(spark, folder).select("doc_id", F.explode(t.sentences(F.col("text"))).alias("sentence"))
     return sentences.select("doc_id", t.apply_filters(text, t.vector_filters(4)).alias("tokens"))
 
 
@@ -154,7 +154,7 @@ def word_vectors(spark, folder):
 
 @query("doc_vectors")
 def doc_vectors(spark, folder):
-    tokens = table(spark, folder, "documents").select(
+    tokens = documents(spark, folder).select(
         "doc_id", t.apply_filters(F.col("text"), t.classification_filters([], None)).alias("tokens")
     )
     model = vectors.fit_word_vectors(tokens, "tokens", size=50, window=4, min_count=4, step=0.01, epochs=2, partitions=4)
@@ -167,8 +167,8 @@ def doc_vectors(spark, folder):
        FROM documents d JOIN embeddings e ON e.vec_id = d.doc_id""",
 )
 def vector_attach(spark, folder):
-    documents = table(spark, folder, "documents").select("doc_id", "lang")
-    joined = vectors.attach_vectors(documents, "doc_id", table(spark, folder, "embeddings"), "vec_id", "embedding")
+    rows = table(spark, folder, "documents").select("doc_id", "lang")
+    joined = vectors.attach_vectors(rows, "doc_id", table(spark, folder, "embeddings"), "vec_id", "embedding")
     total = F.aggregate("v", F.lit(0.0), lambda acc, x: acc + x)
     return joined.select("doc_id", "lang", F.round(total, 6).alias("total"))
 
@@ -188,7 +188,7 @@ def letter_encoder():
     "SELECT doc_id, 26 AS width, round(CAST(CAST((length(text) - length(replace(text, 'e', ''))) / greatest(length(text), 1) AS FLOAT) AS DOUBLE), 6) AS share_e FROM documents",
 )
 def encode_texts(spark, folder):
-    found = vectors.encode_texts(table(spark, folder, "documents"), "doc_id", "text", letter_encoder)
+    found = vectors.encode_texts(documents(spark, folder), "doc_id", "text", letter_encoder)
     return found.select(
         "doc_id", F.size("v").alias("width"), F.round(F.get("v", F.lit(4)).cast("double"), 6).alias("share_e")
     )

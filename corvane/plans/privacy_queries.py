@@ -180,6 +180,36 @@ def release_table(spark, folder):
     return r.release(generalised(spark, folder), QI, SENSITIVE, K, L, T)
 
 
+_WIDE = """q AS (SELECT p_partkey, p_brand, p_type, CAST(floor(p_size / 25.0) * 25 AS BIGINT) AS size,
+                    CAST(floor(p_retailprice / 1000.0) * 1000 AS BIGINT) AS price,
+                    CASE WHEN list_contains(string_split(p_name, ' '), 'ring') THEN 'ring' ELSE p_name END AS name
+             FROM part),
+     h AS (SELECT p_brand, p_type, size, price, name, count(*) AS n FROM q GROUP BY ALL),
+     base AS (SELECT name, count(*) / CAST((SELECT count(*) FROM q) AS DOUBLE) AS share FROM q GROUP BY name),
+     cls AS (SELECT p_brand, p_type, size, price, CAST(count(*) AS DOUBLE) AS d, sum(n) AS n FROM h GROUP BY ALL),
+     kl AS (SELECT p_brand, p_type, size, price, sum(1.0 / d * ln(1.0 / d / share)) AS kl
+            FROM h JOIN base USING (name) JOIN cls c USING (p_brand, p_type, size, price) GROUP BY ALL)"""
+
+
+@query(
+    "release_many_identifiers",
+    f"""WITH {_WIDE} SELECT q.p_partkey, q.name FROM q JOIN cls USING (p_brand, p_type, size, price)
+        JOIN kl USING (p_brand, p_type, size, price) WHERE cls.n >= 6 AND cls.d >= 4 AND kl.kl <= 1.5""",
+)
+def release_many_identifiers(spark, folder):
+    """Four quasi-identifiers, merged categories, and every value present in a class counted once."""
+    rows = table(spark, folder, "part").select(
+        "p_partkey",
+        "p_brand",
+        "p_type",
+        person.floor_bucket(F.col("p_size"), 25).alias("size"),
+        person.floor_bucket(F.col("p_retailprice"), 1000).alias("price"),
+        person.merge_on_token(F.col("p_name"), "ring").alias("name"),
+    )
+    qi = ["p_brand", "p_type", "size", "price"]
+    return r.release(rows, qi, "name", 6, 4, 1.5, weighting="presence").select("p_partkey", "name")
+
+
 _KEPT = f"kept AS ({_ROWS} WHERE s.n >= {K} AND s.n_distinct >= {L} AND s.kl <= {T})"
 
 

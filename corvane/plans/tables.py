@@ -13,22 +13,34 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    return spread_out(table(spark, folder, "documents"))
+
+
+def spread_out(df: DataFrame) -> DataFrame:
+    """Share the rows of a few large files among all cores before costly row-level work.
+
+    A table that already has a partition per core, as any large one has, is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def folded(c: Column) -> Column:
     return F.lower(fold_accents(F.lower(c)))
 
 
 def entity_dictionary(spark: SparkSession, folder: str) -> DataFrame:
     """Fifty words by rank of document frequency stand in for a list of names."""
-    documents = table(spark, folder, "documents")
     words = F.regexp_extract_all(folded(F.col("text")), F.lit(r"\p{L}{5,}"), F.lit(0))
-    return mentions.frequent_words(documents, "doc_id", words, 301, 350).select(
+    return mentions.frequent_words(documents(spark, folder), "doc_id", words, 301, 350).select(
         F.col("word").alias("alias"), F.col("word").alias("entity")
     )
 
 
 def document_mentions(spark: SparkSession, folder: str) -> DataFrame:
     """Entities per line; the lines are the paragraphs of these documents."""
-    lines = mentions.lines_of(table(spark, folder, "documents"), "doc_id")
+    lines = mentions.lines_of(documents(spark, folder), "doc_id")
     searchable = lines.select("doc_id", "line_no", folded(F.col("line")).alias("line"))
     return mentions.match_entities(searchable, "line", entity_dictionary(spark, folder))
 

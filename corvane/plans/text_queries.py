@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corvane.functions import stem, text as t
 from corvane.operators import cooccurrence, mentions
 from corvane.plans.registry import query
-from corvane.plans.tables import document_mentions, entity_dictionary, folded, mention_graph, table
+from corvane.plans.tables import document_mentions, documents, entity_dictionary, folded, mention_graph, table
 
 
 def _fold(c: str) -> str:
@@ -43,7 +43,7 @@ FEW_WORDS = ["the", "and", "of", "to", "in", "le", "la", "de", "et", "el", "der"
 )
 def accent_fold(spark, folder):
     c = F.col("text")
-    return table(spark, folder, "documents").select(
+    return documents(spark, folder).select(
         "doc_id", t.fold_accents(c).alias("folded"), t.fold_accents_drop_commas(c).alias("without_commas")
     )
 
@@ -56,7 +56,7 @@ def accent_fold(spark, folder):
     + " AS cleaned FROM documents",
 )
 def clean_text(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", t.clean_text(F.col("text")).alias("cleaned"))
+    return documents(spark, folder).select("doc_id", t.clean_text(F.col("text")).alias("cleaned"))
 
 
 _LONG = "array_to_string(list_filter(" + _words("lower(text)") + ", lambda w: length(w) >= 4), ' ')"
@@ -72,7 +72,7 @@ _LONG = "array_to_string(list_filter(" + _words("lower(text)") + ", lambda w: le
 )
 def tokens_min_len(spark, folder):
     tokens = t.apply_filters(F.col("text"), t.vector_filters(4))
-    return table(spark, folder, "documents").select("doc_id", tokens.alias("tokens")).select(
+    return documents(spark, folder).select("doc_id", tokens.alias("tokens")).select(
         "doc_id", F.array_join("tokens", " ").alias("tokens"), F.size("tokens").alias("n")
     )
 
@@ -88,21 +88,19 @@ def tokens_min_len(spark, folder):
 )
 def filter_chain_no_stem(spark, folder):
     tokens = t.apply_filters(F.col("text"), t.classification_filters(FEW_WORDS, None))
-    return table(spark, folder, "documents").select("doc_id", F.array_join(tokens, " ").alias("tokens"))
+    return documents(spark, folder).select("doc_id", F.array_join(tokens, " ").alias("tokens"))
 
 
 @query("stem_tokens")
 def stem_tokens(spark, folder):
-    """Sentences, then the whole filter chain with the stemmer, flattened to one list per document."""
+    """The whole filter chain with the stemmer, one flat list per document.
+
+    Sentences break at blanks and the chain works word by word, so the lists of the sentences laid
+    end to end are the list of the whole text; no sentence has to be cut out and put back.
+    """
     words = t.classification_filters(stop_words(spark), stem.stem_text)
-    per_sentence = (
-        table(spark, folder, "documents")
-        .select("doc_id", F.posexplode(t.sentences(F.col("text"))).alias("sentence_no", "sentence"))
-        .select("doc_id", "sentence_no", t.apply_filters(F.col("sentence"), words).alias("tokens"))
-    )
-    # bounded by the sentences of one document
-    lists = per_sentence.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("sentence_no", "tokens"))).alias("s"))
-    return lists.select("doc_id", F.flatten(F.col("s.tokens")).alias("tokens")).select(
+    tokens = t.apply_filters(F.col("text"), words)
+    return documents(spark, folder).select("doc_id", tokens.alias("tokens")).select(
         "doc_id", F.array_join("tokens", " ").alias("tokens"), F.size("tokens").alias("n")
     )
 
@@ -120,7 +118,7 @@ _ABBR = "|".join(a.replace(".", r"\.") for a in sorted(set(t.ABBREVIATIONS)))
          SELECT doc_id, generate_subscripts(l, 1) - 1 AS sentence_no, unnest(l) AS sentence FROM s""",
 )
 def sentences(spark, folder):
-    return table(spark, folder, "documents").select(
+    return documents(spark, folder).select(
         "doc_id", F.posexplode(t.sentences(F.col("text"))).alias("sentence_no", "sentence")
     ).withColumn("sentence_no", F.col("sentence_no").cast("bigint"))
 
@@ -135,7 +133,7 @@ _SPACED = "replace(text, '.' || chr(10), '.' || chr(10) || chr(10))"
 )
 def paragraphs(spark, folder):
     spaced = F.replace(F.col("text"), F.lit(".\n"), F.lit(".\n\n"))
-    found = mentions.paragraphs_of(table(spark, folder, "documents"), "doc_id", t.paragraphs(spaced))
+    found = mentions.paragraphs_of(documents(spark, folder), "doc_id", t.paragraphs(spaced))
     return found.withColumn("para_no", F.col("para_no").cast("bigint"))
 
 
@@ -145,7 +143,7 @@ def paragraphs(spark, folder):
 )
 def paragraph_flatten(spark, folder):
     spaced = F.replace(F.col("text"), F.lit(".\n"), F.lit(".\n\n"))
-    return table(spark, folder, "documents").select("doc_id", t.paragraph_breaks_to_blank(spaced).alias("text"))
+    return documents(spark, folder).select("doc_id", t.paragraph_breaks_to_blank(spaced).alias("text"))
 
 
 @query(
@@ -155,7 +153,7 @@ def paragraph_flatten(spark, folder):
 )
 def chapter_split(spark, folder):
     pieces = F.posexplode(t.chapters(F.col("text"), "The")).alias("chapter_no", "text")
-    found = table(spark, folder, "documents").select("doc_id", pieces)
+    found = documents(spark, folder).select("doc_id", pieces)
     return found.withColumn("chapter_no", F.col("chapter_no").cast("bigint"))
 
 
@@ -230,7 +228,7 @@ def alias_rewrite(spark, folder):
     names = entity_dictionary(spark, folder)
     stems = names.groupBy(F.substring("alias", 1, 2).alias("stem")).agg(F.min("alias").alias("entity"))
     aliases = names.select("alias", F.substring("alias", 1, 2).alias("stem")).join(stems, "stem").select("alias", "entity")
-    lines = mentions.lines_of(table(spark, folder, "documents"), "doc_id")
+    lines = mentions.lines_of(documents(spark, folder), "doc_id")
     searchable = lines.select("doc_id", "line_no", folded(F.col("line")).alias("line"))
     return mentions.mention_counts(mentions.match_entities(searchable, "line", aliases))
 
@@ -245,7 +243,7 @@ def alias_rewrite(spark, folder):
          GROUP BY word""",
 )
 def whole_word_mentions(spark, folder):
-    lines = mentions.lines_of(table(spark, folder, "documents"), "doc_id")
+    lines = mentions.lines_of(documents(spark, folder), "doc_id")
     searchable = lines.select("doc_id", "line_no", folded(F.col("line")).alias("line"))
     found = mentions.match_entities(searchable, "line", entity_dictionary(spark, folder), match="word")
     return mentions.mention_counts(found)

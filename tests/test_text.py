@@ -58,6 +58,15 @@ def test_sentences_hold_after_abbreviations(spark):
     assert value(spark, "Mr. A. Then", t.sentences(F.col("text"), [])) == ["Mr.", "A.", "Then"]
 
 
+def test_sentence_lists_end_to_end_are_the_list_of_the_text(spark):
+    text = "The dogs were running. Dr. No hopped, skipped!  Why?\nThey agreed (mostly). Ponies..."
+    chain = t.classification_filters(["the", "were"], stem.stem_text)
+    df = spark.createDataFrame([(text,)], "text string")
+    pieces = df.select(F.posexplode(t.sentences(F.col("text"))).alias("n", "s"))
+    lists = [r.v for r in pieces.select("n", t.apply_filters(F.col("s"), chain).alias("v")).orderBy("n").collect()]
+    assert len(lists) > 3 and sum(lists, []) == df.select(t.apply_filters(F.col("text"), chain).alias("v")).first().v
+
+
 def test_longest_compound_first(spark):
     got = value(spark, "count rostov and count rostov junior", t.join_compounds(F.col("text"), ["count rostov", "count rostov junior", "anna"]))
     assert got == "count_rostov and count_rostov_junior"

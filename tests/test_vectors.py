@@ -155,7 +155,7 @@ def test_supervised_labels_are_learned(spark, model):
 
 
 def test_inverted_labels_score_zero(spark):
-    tune = {"c": [1.0], "folds": 2}
+    tune = {"c": [0.01], "folds": 2}
     got = means(e.cluster_as_label(blobs(spark), "id", "v", "y", "supervised", "svm", inverse=True, folds=2, tune=tune))
     assert got["test", "accuracy"] == 0.0
 
