@@ -28,11 +28,14 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/corvane-{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame, name: str = "table") -> DataFrame:
-    """Write ``df`` once and go on from the written table."""
+def cut(df: DataFrame, name: str = "table", partition_by: str | None = None) -> DataFrame:
+    """Write ``df`` once and go on from the written table.
+
+    With ``partition_by``, a later filter on that column reads only its folder.
+    """
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 class GrowingTable:

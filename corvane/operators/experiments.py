@@ -65,7 +65,7 @@ def majority_experiment(
 
     Test rows take the class of the nearest centre. Returns (split, metric, value), means over runs.
     """
-    table = cut(repeated_holdout(df.select(key, vector, truth), key, truth, runs, fraction, seed), "runs")
+    table = cut(repeated_holdout(df.select(key, vector, truth), key, truth, runs, fraction, seed), "runs", partition_by="run")
     labels = cut(_cluster_runs(table, key, vector, algorithm, runs, k, seed, **options), "clusters")
     members = table.join(labels, ["run", key])
     centres = cut(centroids(members, "cluster", vector, by=["run"]), "centres")
@@ -116,7 +116,7 @@ def knn_on_clusters(
     **options,
 ) -> DataFrame:
     """A neighbour classifier trained on cluster labels, scored against the truth, means over runs."""
-    table = cut(repeated_holdout(df.select(key, vector, truth), key, truth, runs, fraction, seed), "runs")
+    table = cut(repeated_holdout(df.select(key, vector, truth), key, truth, runs, fraction, seed), "runs", partition_by="run")
     labels = cut(_cluster_runs(table, key, vector, algorithm, runs, k, seed, **options), "clusters")
     train = table.filter("split = 'train'").join(labels, ["run", key])
     predicted = knn_classify(train, table, key, vector, "cluster", neighbours, "distance", by="run")
@@ -175,7 +175,7 @@ def cluster_as_label(
         labels = cluster(df, key, vector, algorithm, 2, **options)
     code = inverted(F.col("label")) if inverse else F.col("label")
     labelled = df.select(key, vector, truth).join(labels.select(key, code.alias("cluster")), key)
-    table = cut(assign_folds(labelled, [key], folds, seed), "folds")
+    table = cut(assign_folds(labelled, [key], folds, seed), "folds", partition_by="fold")
 
     def one(fold: int) -> DataFrame:
         train = cut(oversample(table.filter(F.col("fold") != fold), [key], "cluster", 0, 1, seed), "train")

@@ -8,6 +8,7 @@ from pyspark.ml.feature import MinMaxScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
+from corvane.functions.keyed_random import uniform
 from corvane.operators.ranking import hash_rank
 
 
@@ -37,8 +38,14 @@ def shuffled(df: DataFrame, keys: Sequence[str], seed: int) -> DataFrame:
     return hash_rank(df, keys, seed, name="position")
 
 
-def sample_rows(df: DataFrame, keys: Sequence[str], n: int, seed: int) -> DataFrame:
-    """Exactly ``n`` rows (or all of them), without replacement."""
+def sample_rows(df: DataFrame, keys: Sequence[str], n: int, seed: int, few: int = 1000) -> DataFrame:
+    """Exactly ``n`` rows (or all of them), without replacement.
+
+    A few rows are a top-n, which Spark cuts in every task; more are cut by rank.
+    """
+    if n <= few:
+        drawn = df.withColumn("__u", uniform(seed, *keys))
+        return drawn.orderBy("__u", *keys).limit(n).drop("__u")
     return hash_rank(df, keys, seed).filter(F.col("rank") <= n).drop("rank")
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corvane.functions.keyed_random import uniform
 from corvane.lineage import GrowingTable, cut
+from corvane.operators.features import sample_rows
 from corvane.operators.graph_stats import degrees, symmetric
 from corvane.operators.ranking import hash_rank
 
@@ -83,7 +84,7 @@ def strategy_stats(reached: DataFrame) -> DataFrame:
 
 
 def random_seeds(nodes: DataFrame, n: int, seed: int) -> DataFrame:
-    return hash_rank(nodes.select("id"), ["id"], seed).filter(F.col("rank") <= n).select("id")
+    return sample_rows(nodes.select("id"), ["id"], n, seed)
 
 
 def top_degree_seeds(nodes: DataFrame, edges: DataFrame, n: int) -> DataFrame:

@@ -21,6 +21,7 @@ from corvane.functions.vectors import distance
 from corvane.lineage import cut
 
 MAX_CENTRES = 10_000
+FEWEST, MOST, PER_PIVOT = 16, 512, 20_000
 
 
 def centroids(df: DataFrame, label: str, vector: str, by: Sequence[str] = ()) -> DataFrame:
@@ -95,14 +96,17 @@ def nearest_neighbours(
     carry: Sequence[str] = (),
     by: str | None = None,
     p: float = 2,
-    pivots: int = 16,
+    pivots: int | None = None,
     block: int = 2000,
     seed: int = 11,
 ) -> DataFrame:
     """The exact k nearest points of every query: (by, query, point, dist, rank, carried columns).
 
     With ``by``, a query sees only the points with its value of that column, as in folds or runs.
+    By default there is a pivot per ``PER_PIVOT`` points, within ``FEWEST`` and ``MOST`` pivots.
     """
+    if pivots is None:
+        pivots = min(MOST, max(FEWEST, points.count() // PER_PIVOT))
     spark = queries.sparkSession
     by_col = F.col(by).cast("int") if by else F.lit(0)
     q = queries.select(by_col.alias("by"), F.col(query_key).alias("query"), F.col(vector).alias("v"))

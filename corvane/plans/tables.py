@@ -18,12 +18,13 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def spread_out(df: DataFrame) -> DataFrame:
-    """Share the rows of a few large files among all cores before costly row-level work.
+    """Share the rows of a few files among all cores before costly row-level work.
 
-    A table that already has a partition per core, as any large one has, is left as it is.
+    Splits of a small file can be empty, as a row group is never cut. A table with several splits
+    per core, as any large one has, is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < 2 * cores else df
 
 
 def folded(c: Column) -> Column:

@@ -45,6 +45,12 @@ def test_holdout_takes_a_share_of_every_class(spark):
     assert len(marked["train"]) == 22
 
 
+def test_both_ways_to_sample_take_the_same_rows(spark):
+    df = spark.range(300)
+    few = {r.id for r in f.sample_rows(df, ["id"], 40, 9).collect()}
+    assert few == {r.id for r in f.sample_rows(df, ["id"], 40, 9, few=0).collect()} and len(few) == 40
+
+
 def test_folds_partition_the_rows(spark):
     folds = _by(f.assign_folds(labelled(spark), ["id"], 10, 1), "fold")
     assert sorted(len(r) for r in folds.values()) == [2] * 3 + [3] * 7
