@@ -9,6 +9,7 @@ from corvane.operators import communities, graph_stats as g, influence as inf, s
 from corvane.operators.ranking import hash_rank
 from corvane.plans.registry import query
 from corvane.plans.tables import mention_graph, part_communities, part_graph
+from corvane.plans.text_queries import MENTION_EDGES_SQL, MENTIONS_SQL
 
 EDGES = """
 items AS (SELECT DISTINCT l_orderkey AS g, l_partkey AS i FROM lineitem),
@@ -21,7 +22,9 @@ PARTS = "parts AS (SELECT p_partkey AS id, p_brand AS community FROM part)"
 CROSS = """placed AS (SELECT e.src, e.dst, a.community AS ca, b.community AS cb
                       FROM edges e JOIN parts a ON a.id = e.src JOIN parts b ON b.id = e.dst)"""
 
-SEEDS, RUNS, P, SEED, MAX_STEPS = 3, 50, 0.2, 17, 30
+SEEDS, RUNS, P, SEED = 3, 50, 0.2, 17
+# the walks of the SQL can go round in circles, so they need an end; it lies far beyond the longest cascade
+SQL_STEPS = 60
 
 
 @query("part_graph_edges", f"WITH {EDGES} SELECT src, dst, weight FROM edges")
@@ -197,13 +200,13 @@ def _cascade_sql() -> str:
         walk AS (SELECT strategy, run, id, 0 AS step FROM seeds, range(1, {RUNS + 1}) r(run)
                  UNION
                  SELECT w.strategy, w.run, l.dst, w.step + 1 FROM walk w
-                 JOIN live l ON l.run = w.run AND l.src = w.id WHERE w.step < {MAX_STEPS}),
+                 JOIN live l ON l.run = w.run AND l.src = w.id WHERE w.step < {SQL_STEPS}),
         reached AS (SELECT strategy, run, id, min(step) AS step FROM walk GROUP BY 1, 2, 3)"""
 
 
 def _reached(spark, folder):
     nodes, edges = part_graph(spark, folder)
-    return inf.cascades(edges, strategy_seeds(nodes, edges), P, RUNS, SEED, MAX_STEPS)
+    return inf.cascades(edges, strategy_seeds(nodes, edges), P, RUNS, SEED)
 
 
 @query("cascade_reached", f"{_cascade_sql()} SELECT strategy, CAST(run AS INTEGER) AS run, id, step FROM reached")
@@ -237,14 +240,72 @@ def cascade_strategy_stats(spark, folder):
     )
 
 
-@query("influence_hill_climb")
+SAMPLES, SPREAD_P, SPREAD_RUNS = 2000, 0.1, 100
+_MENTION_GRAPH = f"""{MENTIONS_SQL}, {MENTION_EDGES_SQL},
+    msym AS MATERIALIZED (SELECT src, dst FROM medges UNION ALL SELECT dst, src FROM medges),
+    mnodes AS MATERIALIZED (SELECT DISTINCT entity AS id FROM mentions)"""
+
+
+def _live_sql(runs: int) -> str:
+    return f"""live AS MATERIALIZED (SELECT run, src, dst FROM msym, range(1, {runs + 1}) r(run)
+               WHERE {uniform_sql(SEED, 'run', 'src', 'dst')} < {SPREAD_P})"""
+
+
+def _cover_sql(n: int) -> str:
+    """Greedy cover of the sets of nodes that reach a drawn target."""
+    steps = [
+        f"""numbered AS (SELECT id, row_number() OVER (ORDER BY {uniform_sql(SEED, 'id')}, id) AS rank FROM mnodes),
+            drawn AS (SELECT run, CAST(floor({uniform_sql(SEED + 1, 'run')} * (SELECT count(*) FROM mnodes)) AS BIGINT) + 1 AS rank
+                      FROM range(1, {SAMPLES + 1}) r(run)),
+            walk AS (SELECT run, id FROM drawn JOIN numbered USING (rank)
+                     UNION SELECT w.run, l.dst FROM walk w JOIN live l ON l.run = w.run AND l.src = w.id),
+            left1 AS MATERIALIZED (SELECT run, id FROM walk)"""
+    ]
+    for i in range(1, n + 1):
+        steps.append(
+            f"""best{i} AS MATERIALIZED (SELECT id, count(*) AS covered FROM left{i} GROUP BY id ORDER BY covered DESC, id LIMIT 1),
+                left{i + 1} AS MATERIALIZED (SELECT run, id FROM left{i} WHERE run NOT IN
+                  (SELECT run FROM left{i} WHERE id IN (SELECT id FROM best{i})))"""
+        )
+    chosen = " UNION ALL ".join(f"SELECT CAST({i} AS INTEGER) AS rank, id, covered FROM best{i}" for i in range(1, n + 1))
+    return f"""WITH RECURSIVE {_MENTION_GRAPH}, {_live_sql(SAMPLES)}, {', '.join(steps)}
+               SELECT rank, id, round(sum(covered) OVER (ORDER BY rank) * (SELECT count(*) FROM mnodes) / {SAMPLES}.0, 6) AS est_spread
+               FROM ({chosen})"""
+
+
+def _climb_sql(n: int) -> str:
+    """Hill climbing: every open node is tried together with the nodes chosen before."""
+    steps, taken = [], []
+    for i in range(1, n + 1):
+        seeds = "SELECT id AS strategy, id FROM mnodes" + "".join(
+            f" UNION ALL SELECT n.id, b.id FROM mnodes n, best{j} b" for j in taken
+        )
+        closed = "".join(f" AND strategy NOT IN (SELECT id FROM best{j})" for j in taken)
+        steps.append(
+            f"""walk{i} AS (SELECT strategy, run, id FROM ({seeds}), range(1, {SPREAD_RUNS + 1}) r(run)
+                  UNION SELECT w.strategy, w.run, l.dst FROM walk{i} w JOIN live l ON l.run = w.run AND l.src = w.id),
+                best{i} AS MATERIALIZED (SELECT strategy AS id, count(*) / {SPREAD_RUNS}.0 AS est_spread FROM walk{i}
+                  WHERE TRUE{closed} GROUP BY strategy ORDER BY est_spread DESC, strategy LIMIT 1)"""
+        )
+        taken.append(i)
+    chosen = " UNION ALL ".join(f"SELECT CAST({i} AS INTEGER) AS rank, id, round(est_spread, 6) AS est_spread FROM best{i}" for i in taken)
+    return f"WITH RECURSIVE {_MENTION_GRAPH}, {_live_sql(SPREAD_RUNS)}, {', '.join(steps)} {chosen}"
+
+
+@query("influence_hill_climb", _cover_sql(SEEDS))
 def influence_hill_climb(spark, folder):
-    return inf.max_influence(*mention_graph(spark, folder), SEEDS, p=0.1, samples=2000, seed=SEED)
+    """Seeds by covering reverse-reachable sets."""
+    found = inf.max_influence(*mention_graph(spark, folder), SEEDS, p=SPREAD_P, samples=SAMPLES, seed=SEED)
+    return found.withColumn("est_spread", F.round("est_spread", 6))
 
 
-@query("influence_simulated")
+@query("influence_simulated", _climb_sql(SEEDS))
 def influence_simulated(spark, folder):
-    return inf.max_influence_simulated(*mention_graph(spark, folder), SEEDS, p=0.1, runs=100, seed=SEED)
+    """Seeds by simulating every candidate."""
+    found = inf.max_influence_simulated(
+        *mention_graph(spark, folder), SEEDS, p=SPREAD_P, runs=SPREAD_RUNS, seed=SEED
+    )
+    return found.withColumn("est_spread", F.round("est_spread", 6))
 
 
 @query(

@@ -257,13 +257,41 @@ def grid_search(spark, folder):
     return spark.createDataFrame([(c, r["regParam"], r["score"]) for c, r in zip(costs, rows)], "c double, regParam double, score double")
 
 
-@query("knn_grid")
+GRID_KS = [5, 10, 15, 20, 30, 50, 100, 200]
+METRICS = {"manhattan": 1, "euclidean": 2, "chebyshev": float("inf")}
+
+
+@query(
+    "knn_grid",
+    f"""WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, CAST(label < 5 AS INTEGER) AS truth FROM embeddings),
+        f AS (SELECT *, (row_number() OVER (ORDER BY {uniform_sql(SEED, 'vec_id')}, vec_id) - 1) % 10 AS fold FROM v),
+        gaps AS MATERIALIZED (SELECT q.vec_id, q.fold, q.truth, p.vec_id AS point, p.truth AS vote,
+                        list_transform(list_zip(q.e, p.e), lambda z: abs(z[1] - z[2])) AS g, list_distance(q.e, p.e) AS d2
+                 FROM f q JOIN f p ON q.fold <> p.fold),
+        d AS (SELECT 'manhattan' AS metric, vec_id, fold, truth, point, vote, list_sum(g) AS dist FROM gaps
+              UNION ALL SELECT 'euclidean', vec_id, fold, truth, point, vote, d2 FROM gaps
+              UNION ALL SELECT 'chebyshev', vec_id, fold, truth, point, vote, list_max(g) FROM gaps),
+        r AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY metric, vec_id ORDER BY dist, point) AS rank
+              FROM d QUALIFY rank <= {max(GRID_KS)}),
+        n AS (SELECT metric, k, vec_id, fold, truth, vote, count(*) AS c, count(*) FILTER (WHERE dist = 0) AS hits,
+                     round(sum(CASE WHEN dist = 0 THEN 1.0 ELSE 1.0 / dist END), 9) AS w
+              FROM r, unnest({GRID_KS}) u(k) WHERE rank <= k GROUP BY ALL),
+        b AS (SELECT metric, k, 'distance' AS weights, vec_id, fold, truth, vote,
+                     row_number() OVER (PARTITION BY metric, k, vec_id ORDER BY hits DESC, w DESC, vote) AS o FROM n
+              UNION ALL
+              SELECT metric, k, 'uniform', vec_id, fold, truth, vote,
+                     row_number() OVER (PARTITION BY metric, k, vec_id ORDER BY c DESC, vote) FROM n),
+        a AS (SELECT metric, k, weights, fold, avg(CAST(vote = truth AS INTEGER)) AS acc FROM b WHERE o = 1 GROUP BY ALL)
+        SELECT metric, k, weights, round(avg(greatest(acc, 1 - acc)), 6) AS score FROM a GROUP BY ALL""",
+)
 def knn_grid(spark, folder):
     rows = binary_embeddings(spark, folder).select("vec_id", "v", "truth")
     folds = features.assign_folds(rows, ["vec_id"], 10, SEED)
-    return classifiers.knn_grid(
-        folds, "vec_id", "v", "truth", "fold", ks=[5, 10, 15, 20, 30, 50, 100, 200], ps=[1, 2, float("inf")]
+    found = classifiers.knn_grid(
+        folds, "vec_id", "v", "truth", "fold", ks=GRID_KS, ps=list(METRICS.values())
     )
+    name = F.coalesce(*[F.when(F.col("p") == F.lit(float(p)), name) for name, p in METRICS.items()])
+    return found.select(name.alias("metric"), "k", "weights", F.round("score", 6).alias("score"))
 
 
 @query("cluster_as_label")
