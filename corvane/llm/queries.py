@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corvane.llm import spans
+from corvane.llm import packing, spans
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -36,3 +36,15 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     """Spans of at least 50 words removed from each document because they start earlier, and what is left."""
     done = spans.suffix_dedup(table(spark, folder, "documents").select("doc_id", "text"), 50, join_words=True)
     return done.select("doc_id", "n_words", "n_removed", "removed_spans", F.sha2(F.col("text"), 256).alias("kept_sha256"))
+
+
+def bpe_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op2_packing")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of all documents in sequences of 1024 tokens."""
+    return packing.pack(table(spark, folder, "documents"), bpe_file(), capacity=1024, end_id=0)
