@@ -1,8 +1,9 @@
 """Packing documents into training sequences by bounded-space best fit.
 
 Every partition keeps a fixed number of open windows.  A document's full windows stand alone; its rest goes into
-the open window that it fills best.  When none fits and all windows are open, the fullest one is emitted.  Windows
-still open when a partition ends are merged, sixteen partitions at a time, until one group is left.
+the open window that it fills best.  When none fits and all windows are open, the fullest one is emitted,
+topped up with a cut of the piece if it has room for ``least_cut`` tokens or more.  When a partition ends, its open windows are merged into full ones by cutting, and the one that is left over is merged with
+those of other partitions, sixteen at a time, until one group is left.
 
 Defined cases: a null text is empty and still yields its end id; rows with the same or a null id are packed like
 any other; other columns play no part; an empty table gives an empty table.
@@ -11,8 +12,10 @@ any other; other columns play no part; an empty table gives an empty table.
 from __future__ import annotations
 
 import bisect
+import itertools
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -29,32 +32,67 @@ PIECES = (
 MERGED = "window long, sequence_id long, shift long, fill long, team long, is_open boolean"
 
 
+class Piece(NamedTuple):
+    doc_id: int | None
+    start: int
+    ids: bytes  # little-endian unsigned 32-bit
+    doc_tokens: int
+
+    @property
+    def size(self) -> int:
+        return len(self.ids) // 4
+
+    def cut_at(self, n: int) -> tuple[Piece, Piece]:
+        return self._replace(ids=self.ids[: 4 * n]), self._replace(start=self.start + n, ids=self.ids[4 * n :])
+
+
 class OpenWindows:
-    """At most ``most`` windows with room, found by the room they have."""
+    """At most ``most`` windows with room, found by the room they have; closed ones are handed to ``emit``."""
 
-    def __init__(self, capacity: int, most: int, first_name: int) -> None:
-        self.capacity, self.most, self._next = capacity, most, first_name
+    def __init__(self, capacity: int, most: int, least_cut: int, emit: Callable[[list[Piece], bool], None]) -> None:
+        self.capacity, self.most, self.least_cut, self._emit = capacity, most, least_cut, emit
         self._rooms: list[tuple[int, int]] = []  # (room, window), sorted
+        self._pieces: dict[int, list[Piece]] = {}
+        self._next = 0
 
-    def fresh(self) -> int:
-        self._next += 1
-        return self._next - 1
-
-    def place(self, size: int) -> tuple[int, int]:
-        """The window that takes the piece, and the offset there."""
-        at = bisect.bisect_left(self._rooms, (size, -1))
+    def place(self, piece: Piece) -> None:
+        at = bisect.bisect_left(self._rooms, (piece.size, -1))
         if at < len(self._rooms):
             room, window = self._rooms.pop(at)
         else:
             if len(self._rooms) >= self.most:
-                self._rooms.pop(0)  # the fullest; no later piece comes to it
-            room, window = self.capacity, self.fresh()
-        if room > size:
-            bisect.insort(self._rooms, (room - size, window))
-        return window, self.capacity - room
-
-    def left(self) -> list[tuple[int, int]]:
-        return [(window, self.capacity - room) for room, window in self._rooms]
+                room, window = self._rooms.pop(0)  # the fullest
+                if room >= self.least_cut:
+                    piece, rest = piece.cut_at(room)
+                    self._emit([*self._pieces.pop(window), piece], False)
+                    return self.place(rest)
+                self._emit(self._pieces.pop(window), False)
+            room, window = self.capacity, self._next
+            self._pieces[window] = []
+            self._next += 1
+        self._pieces[window].append(piece)
+        if room > piece.size:
+            bisect.insort(self._rooms, (room - piece.size, window))
+        else:
+            self._emit(self._pieces.pop(window), False)
+
+    def close(self) -> None:
+        """Fill the fuller windows with cut pieces of the emptier ones; only the last one stays open."""
+        windows = [self._pieces.pop(window) for _, window in self._rooms]
+        loose: list[Piece] = []
+        while windows or loose:
+            window = windows.pop(0) if windows else []
+            room = self.capacity - sum(p.size for p in window)
+            while room and (windows or loose):
+                if not loose:
+                    loose = windows.pop()
+                piece = loose.pop()
+                if piece.size > room:
+                    piece, rest = piece.cut_at(room)
+                    loose.append(rest)
+                window.append(piece)
+                room -= piece.size
+            self._emit(window, room > 0)
 
 
 def merge_windows(rows: list[tuple[int, int, int, int]], capacity: int, most: int) -> list[tuple[int, int, int, int, bool]]:
@@ -93,6 +131,7 @@ def pack(
     capacity: int = 1024,
     end_id: int = 0,
     open_windows: int = 256,
+    least_cut: int = 16,
     with_ids: bool = False,
 ) -> DataFrame:
     """One row per piece: where it starts in its document, its sequence and the offset there.
@@ -103,32 +142,34 @@ def pack(
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokens.encoder(shared)
-        windows = OpenWindows(capacity, open_windows, TaskContext.get().partitionId() << 40)
+        numbers = itertools.count(TaskContext.get().partitionId() << 40)
+        rows: list[tuple] = []
+
+        def emit(window: list[Piece], is_open: bool) -> None:
+            number, offset = next(numbers), 0
+            for p in window:
+                rows.append((p.doc_id, p.start, p.size, zlib.crc32(p.ids), p.doc_tokens, number, offset, p.ids if with_ids else None, False))
+                offset += p.size
+            if is_open:
+                rows.append((None, None, offset, None, None, number, None, None, True))
+
+        windows = OpenWindows(capacity, open_windows, least_cut, emit)
         for batch in batches:
             for first, last, ids, offsets in encoder.encode(batch.column(1)):
-                yield rows_of(batch.column(0).slice(first, last - first), ids, offsets, windows)
-        left = windows.left()
-        none = [None] * len(left)
-        yield batch_of(none, none, [fill for _, fill in left], none, none, [w for w, _ in left], none, none, True)
-
-    def rows_of(names: pa.Array, ids: np.ndarray, offsets: np.ndarray, windows: OpenWindows) -> pa.RecordBatch:
-        out: list[list] = [[] for _ in range(8)]
-        for row, name in enumerate(names.to_pylist()):
-            own = np.append(ids[offsets[row] : offsets[row + 1]].astype("<u4"), np.uint32(end_id)).astype("<u4")
-            for start in range(0, len(own), capacity):
-                piece = own[start : start + capacity].tobytes()
-                size = len(piece) // 4
-                window, offset = (windows.fresh(), 0) if size == capacity else windows.place(size)
-                values = (name, start, size, zlib.crc32(piece), len(own), window, offset, piece if with_ids else None)
-                for column, value in zip(out, values, strict=True):
-                    column.append(value)
-        return batch_of(*out, False)
-
-    def batch_of(*columns) -> pa.RecordBatch:
-        *data, is_window = columns
-        n = len(data[0])
-        types = [pa.int64()] * 7 + [pa.binary()]
-        arrays = [pa.array(c, t) for c, t in zip(data, types, strict=True)] + [pa.array([is_window] * n, pa.bool_())]
+                for row, name in enumerate(batch.column(0).slice(first, last - first).to_pylist()):
+                    own = np.append(ids[offsets[row] : offsets[row + 1]], np.uint32(end_id)).astype("<u4")
+                    for start in range(0, len(own), capacity):
+                        windows.place(Piece(name, start, own[start : start + capacity].tobytes(), len(own)))
+                if rows:
+                    yield batch_of(rows)
+                    rows.clear()
+        windows.close()
+        yield batch_of(rows)
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*rows, strict=True)) if rows else [()] * 9
+        types = [pa.int64()] * 7 + [pa.binary(), pa.bool_()]
+        arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
         return pa.RecordBatch.from_arrays(arrays, names=names_of(PIECES))
 
     def names_of(ddl: str) -> list[str]:
