@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from corvane.llm import packing, spans
+from corvane.llm import packing, spans, toxicity
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -48,3 +48,16 @@ def bpe_file() -> str:
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     """Pieces of all documents in sequences of 1024 tokens."""
     return packing.pack(table(spark, folder, "documents"), bpe_file(), capacity=1024, end_id=0)
+
+
+def crc_of_id(c: str) -> Column:
+    return F.crc32(F.col(c).cast("string").cast("binary"))
+
+
+@query("op4_toxicity")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, learnt from the labels whose crc32 modulo 5 is not 0."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = toxicity.toxicity(docs, table(spark, folder, "labels"), crc_of_id("doc_id") % 5 != 0)
+    held_out = F.coalesce(crc_of_id("doc_id") % 5 == 0, F.lit(False)).alias("held_out")
+    return scored.select("doc_id", held_out, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -88,10 +88,12 @@ def text_slices(column: pa.Array | pa.ChunkedArray, most_bytes: int = 1 << 17) -
         before += len(chunk)
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_bounds(
+    data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SEPARATOR
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Byte starts and ends of all words, and the number of the first word of each row (one more at the end)."""
     gap = np.ones(len(data) + 2, dtype=bool)
-    gap[1:-1] = SEPARATOR[data]
+    gap[1:-1] = separator[data]
     word = ~gap
     starts = word[1:-1] & gap[:-2]
     ends = word[1:-1] & gap[2:]
@@ -111,6 +113,15 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((total[ends] - total[starts]) * inverse[starts], 0x51ED270B)
 
 
+def letter_runs() -> np.ndarray:
+    """A separator table that keeps ASCII letters and digits and everything outside ASCII."""
+    table = np.zeros(256, dtype=bool)
+    table[:128] = True
+    for low, high in ("09", "AZ", "az"):
+        table[ord(low) : ord(high) + 1] = False
+    return table
+
+
 def _windows(hashes: np.ndarray, n: int, powers: Powers, seed: int) -> np.ndarray:
     if len(hashes) < n:
         return np.zeros(0, dtype=np.uint64)
