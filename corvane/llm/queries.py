@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from corvane.llm import packing, spans, toxicity
+from corvane.llm import forest, packing, spans, toxicity
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -61,3 +61,9 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     scored = toxicity.toxicity(docs, table(spark, folder, "labels"), crc_of_id("doc_id") % 5 != 0)
     held_out = F.coalesce(crc_of_id("doc_id") % 5 == 0, F.lit(False)).alias("held_out")
     return scored.select("doc_id", held_out, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op5_near_dedup")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return forest.near_duplicates(table(spark, folder, "documents"), words=5, percent=75)
