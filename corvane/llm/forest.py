@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from corvane.lineage import cut
-from corvane.llm.components import components
+from corvane.llm.components import across, extend, follow
 from corvane.llm.wordhash import LOWER, mix, text_slices, windows, word_bounds, word_hashes
 
 HASHES = 64
@@ -241,7 +241,7 @@ def near_duplicates(
     words: int = 5,
     percent: int = 75,
     reach: int = 128,
-    best: int = 6,
+    best: int = 4,
     most_broadcast: int = 500_000,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``.
@@ -282,28 +282,26 @@ def near_duplicates(
 
     found = texts_for(pairs)
     first = pairs.groupBy("b").agg(F.max_by("a", F.struct("alike", "a")).alias("a")).select("a", "b")
-    links = confirm(first, found, words, percent).unionByName(repeated)
-    joined = components(links)
-    open_pairs = across(pairs.join(first, ["a", "b"], "left_anti"), joined)
-    links = links.unionByName(confirm(open_pairs, found, words, percent))
+    labels = follow(confirm(first, found, words, percent))
+    links = confirm(cut(across(pairs, labels).select("a", "b"), "open"), found, words, percent)
+    labels = extend(labels, links.unionByName(repeated))
 
-    regions = proposed.where("crowded").select("tree", "region").distinct()
+    regions = cut(proposed.where("crowded").select("tree", "region").distinct(), "regions")
     if not regions.isEmpty():
-        joined = components(links)
         member = classes.select("cls", "keys", every_tree().alias("tree")).select("cls", "tree", F.expr(f"substring({KEY}, 1, 4)").alias("region"))
-        dense = member.join(cut(regions, "regions"), ["tree", "region"], "left_semi").select("cls").distinct()
+        dense = member.join(regions, ["tree", "region"], "left_semi").select("cls").distinct()
         rows = cut(
             classes.drop("component").join(dense, "cls", "left_semi")
-            .join(joined.select(F.col("node").alias("cls"), "component"), "cls", "left")
+            .join(labels.select(F.col("node").alias("cls"), "component"), "cls", "left")
             .withColumn("component", F.coalesce("component", "cls")),
             "dense",
         )
         again = propose(rows, rows.count(), how | {"best": reach, "by_component": True})
         more = cut(again.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti"), "more")
         if not more.isEmpty():
-            links = links.unionByName(confirm(more, texts_for(more), words, percent))
+            labels = extend(labels, confirm(more, texts_for(more), words, percent))
 
-    joined = components(links).select(F.col("node").alias("cls"), "component")
+    joined = labels.select(F.col("node").alias("cls"), "component")
     root = classes.select("cls", "rep").join(joined, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     smallest = root.groupBy("component").agg(F.min("rep").alias("component_id"))
     of_class = cut(root.join(smallest, "component").select(F.col("cls").alias("low"), "component_id"), "components")
@@ -314,15 +312,6 @@ def near_duplicates(
     )
 
 
-def across(pairs: DataFrame, joined: DataFrame) -> DataFrame:
-    """The pairs whose ends lie in different components."""
-    end = lambda c: joined.select(F.col("node").alias(c), F.col("component").alias(f"in_{c}"))
-    return (
-        pairs.join(end("a"), "a", "left").join(end("b"), "b", "left")
-        .where(F.coalesce("in_a", "a") != F.coalesce("in_b", "b")).select("a", "b")
-    )
-
-
 def sign_low(column: pa.Array, words: int) -> pa.Array:
     """The first half of the sum that names the set of each text."""
     out = []
