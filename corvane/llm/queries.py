@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from corvane.llm import forest, packing, spans, toxicity
+from corvane.llm import decontam, forest, packing, spans, toxicity, urls
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -67,3 +67,64 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return forest.near_duplicates(table(spark, folder, "documents"), words=5, percent=75)
+
+
+@query("op8_benchmark_decontamination", decontam.SQL)
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the similarity of the best window."""
+    found = decontam.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"), percent=75)
+    return found.select("doc_id", "item_id", "similarity")
+
+
+def drawn(c: Column) -> Column:
+    """A number below 2**24 that a text fixes."""
+    return F.conv(F.substring(F.md5(c), 1, 6), 16, 10).cast("int")
+
+
+def list_entries(pages: DataFrame) -> DataFrame:
+    """A dated list over the hosts and first path parts of the captures: blocks, later removals, and allowances."""
+    seen = pages.select(urls.host_of(F.col("url")).alias("host"), urls.part_of(F.col("url")).alias("part")).where("host <> ''")
+    day = lambda n: F.date_add(F.lit("2024-01-01").cast("date"), n)
+    hosts = seen.select("host").distinct().select(F.col("host").alias("pattern"), drawn(F.col("host")).alias("d"))
+    parts = (
+        seen.where("part <> ''").select(F.concat("host", F.lit("/"), "part").alias("pattern")).distinct()
+        .select("pattern", drawn(F.col("pattern")).alias("d"))
+    )
+    entry = lambda df, action, on: df.select("pattern", F.lit(action).alias("action"), on.alias("on"))
+    d = F.col("d")
+    return (
+        entry(hosts.where(d % 3 == 0), "block", day(d % 180))
+        .unionByName(entry(hosts.where(d % 6 == 0), "remove", day(d % 180 + 90)))
+        .unionByName(entry(hosts.where(d % 12 == 0), "block", day(d % 180 + 150)))
+        .unionByName(entry(parts.where(d % 5 == 0), "allow", day(d % 200)))
+    )
+
+
+@query("op9_url_filters", """
+WITH c AS (
+  SELECT page_id, CAST(DATE '2024-01-01' + CAST(page_id % 366 AS INTEGER) AS DATE) AS fetched_on,
+         lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1)) AS host,
+         regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([^/?#]+)', 1) AS part FROM pages),
+h AS (SELECT DISTINCT host AS pattern, CAST('0x' || substr(md5(host), 1, 6) AS INTEGER) AS d FROM c WHERE host <> ''),
+p AS (SELECT DISTINCT host || '/' || part AS pattern, CAST('0x' || substr(md5(host || '/' || part), 1, 6) AS INTEGER) AS d
+      FROM c WHERE host <> '' AND part <> ''),
+e AS (
+  SELECT pattern, 3 AS n, CAST(DATE '2024-01-01' + d % 180 AS DATE) AS since FROM h WHERE d % 3 = 0
+  UNION ALL SELECT pattern, 1, CAST(DATE '2024-01-01' + (d % 180 + 90) AS DATE) FROM h WHERE d % 6 = 0
+  UNION ALL SELECT pattern, 3, CAST(DATE '2024-01-01' + (d % 180 + 150) AS DATE) FROM h WHERE d % 12 = 0
+  UNION ALL SELECT pattern, 2, CAST(DATE '2024-01-01' + d % 200 AS DATE) FROM p WHERE d % 5 = 0),
+latest AS (
+  SELECT page_id, e.pattern, arg_max(n, since) AS n, max(since) AS since
+  FROM c JOIN e ON (c.host = e.pattern OR c.host LIKE '%.' || e.pattern OR c.host || '/' || c.part = e.pattern) AND since <= fetched_on
+  GROUP BY page_id, e.pattern),
+best AS (SELECT page_id, arg_max(pattern, length(pattern)) AS pattern, arg_max(n, length(pattern)) AS n,
+                arg_max(since, length(pattern)) AS since FROM latest WHERE n > 1 GROUP BY page_id)
+SELECT page_id, host, fetched_on, CASE n WHEN 3 THEN 'block' WHEN 2 THEN 'allow' ELSE 'none' END AS verdict,
+       pattern, since AS listed_on FROM c LEFT JOIN best USING (page_id)
+""")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    """Every capture judged by the entries active on the day it was fetched."""
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    on = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 366).cast("int"))
+    found = urls.verdicts(pages.select(F.col("page_id").alias("capture_id"), "url", on.alias("on")), list_entries(pages))
+    return found.select(F.col("capture_id").alias("page_id"), "host", F.col("on").alias("fetched_on"), "verdict", "pattern", "listed_on")
