@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from corvane.llm import decontam, forest, packing, spans, toxicity, urls
+from corvane.lineage import fresh_path
+from corvane.llm import coder, decontam, forest, language, neighbours, packing, spans, toxicity, urls
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -128,3 +129,26 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     on = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 366).cast("int"))
     found = urls.verdicts(pages.select(F.col("page_id").alias("capture_id"), "url", on.alias("on")), list_entries(pages))
     return found.select(F.col("capture_id").alias("page_id"), "host", F.col("on").alias("fetched_on"), "verdict", "pattern", "listed_on")
+
+
+@query("op10_token_ids")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of all documents written to files of coded blocks, and what reading them back gives."""
+    path = fresh_path(spark, "token-ids")
+    coder.write_ids(table(spark, folder, "documents"), bpe_file(), path, end_id=2)
+    return coder.read_ids(spark, path)
+
+
+@query("op6_nearest_vectors")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth one."""
+    return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query("op7_language_id")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learnt from those whose crc32 modulo 4 is not 2."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    found = language.detect(docs, bpe_file(), crc_of_id("doc_id") % 4 != 2)
+    held_out = F.coalesce(crc_of_id("doc_id") % 4 == 2, F.lit(False)).alias("held_out")
+    return found.select("doc_id", held_out, "lang_pred", "score")
