@@ -85,7 +85,7 @@ def nearest(
     vector_col: str = "embedding",
     k: int = 5,
     pivots: int = 256,
-    prefix: int = 48,
+    prefix: int = 128,
     share: float = 0.12,
     block: int = 8192,
     query_block: int = 1024,
