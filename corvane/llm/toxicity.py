@@ -51,38 +51,60 @@ def tokens_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterato
         yield np.where(short, whole, mix(word_hashes(data, np.maximum(ends - n, starts), ends), 16 + n))
 
 
-def _counts(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """In how many texts of the batch each token stands, by label."""
-    labels = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-    keys, totals = [], []
-    sums = {DOCUMENTS: [int((labels == 1).sum()), int((labels == 0).sum())], WORDS: [0, 0]}
-    for first, last, data, offsets in text_slices(batch.column(1)):
-        data = LOWER[data]
-        starts, ends, first_word = word_bounds(data, offsets, SEPARATOR)
-        per_row = np.diff(first_word)
-        own = labels[first:last]
-        sums[WORDS][0] += int(per_row[own == 1].sum())
-        sums[WORDS][1] += int(per_row[own == 0].sum())
-        row = np.repeat(np.arange(last - first), per_row)
-        once = np.unique(np.concatenate([mix(t + np.uint64(0x9E3779B97F4A7C15) * row.astype(np.uint64)) for t in tokens_of(data, starts, ends)]), return_index=True)[1]
-        every = np.concatenate(list(tokens_of(data, starts, ends)))[once]
-        toxic = own[row[once % max(len(row), 1)]] if len(row) else np.zeros(0, np.int64)
-        keys.append(every)
-        totals.append(toxic)
-    every, toxic = np.concatenate(keys or [np.zeros(0, np.uint64)]), np.concatenate(totals or [np.zeros(0, np.int64)])
-    distinct, number = np.unique(every, return_inverse=True)
-    yes = np.bincount(number, weights=toxic, minlength=len(distinct)).astype(np.int64)
-    both = np.bincount(number, minlength=len(distinct))
-    token = np.concatenate([distinct.view(np.int64), np.array(list(sums), dtype=np.int64)])
-    yes = np.concatenate([yes, [x[0] for x in sums.values()]])
-    no = np.concatenate([both - yes[: len(both)], [x[1] for x in sums.values()]])
-    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (token, yes, no)], names=["token", "toxic", "clean"])
+class Counts:
+    """How many texts of each label hold a token, kept for a bounded number of tokens at a time."""
+
+    MOST = 500_000
+
+    def __init__(self) -> None:
+        self.keys, self.yes, self.both = (np.zeros(0, t) for t in (np.uint64, np.int64, np.int64))
+        self.sums = {DOCUMENTS: [0, 0], WORDS: [0, 0]}
+
+    def add(self, keys: np.ndarray, toxic: np.ndarray) -> None:
+        keys = np.concatenate([self.keys, keys])
+        yes, both = np.concatenate([self.yes, toxic]), np.concatenate([self.both, np.ones(len(toxic), np.int64)])
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        new = np.ones(len(keys), dtype=bool)
+        new[1:] = keys[1:] != keys[:-1]
+        first = np.flatnonzero(new)
+        self.keys = keys[first]
+        self.yes, self.both = (np.add.reduceat(x[order], first) if len(first) else x for x in (yes, both))
+
+    def rows(self) -> pa.RecordBatch:
+        token = np.concatenate([self.keys.view(np.int64), np.array(list(self.sums), dtype=np.int64)])
+        yes = np.concatenate([self.yes, [x[0] for x in self.sums.values()]])
+        no = np.concatenate([self.both - self.yes, [x[1] for x in self.sums.values()]])
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (token, yes, no)], names=["token", "toxic", "clean"])
+
+
+def count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many texts of each label every token stands, with the numbers of texts and words."""
+    counts = Counts()
+    for batch in batches:
+        labels = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        for first, last, data, offsets in text_slices(batch.column(1)):
+            data = LOWER[data]
+            starts, ends, first_word = word_bounds(data, offsets, SEPARATOR)
+            per_row, own = np.diff(first_word), labels[first:last]
+            for i, label in enumerate((1, 0)):
+                counts.sums[DOCUMENTS][i] += int((own == label).sum())
+                counts.sums[WORDS][i] += int(per_row[own == label].sum())
+            row = np.repeat(np.arange(last - first), per_row)
+            every = np.concatenate(list(tokens_of(data, starts, ends)))
+            salt = np.tile(np.uint64(0x9E3779B97F4A7C15) * row.astype(np.uint64), 1 + 2 * len(PARTS))
+            once = np.unique(mix(every + salt), return_index=True)[1]
+            counts.add(every[once], own[row[once % max(len(row), 1)]])
+            if len(counts.keys) > Counts.MOST:
+                yield counts.rows()
+                counts = Counts()
+    yield counts.rows()
 
 
 def learn(texts: DataFrame, *, prior_share: float = 0.1, errors: float = 3.5, least_odds: float = 2.5, most_tokens: int = 200_000) -> Model | None:
     """The significant tokens of ``texts`` (columns ``toxic`` and ``text``), the ``most_tokens`` surest if there are more."""
     counts = cut(
-        texts.select("toxic", "text").mapInArrow(lambda batches: map(_counts, batches), COUNTS)
+        texts.select("toxic", "text").mapInArrow(count_tokens, COUNTS)
         .groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")),
         "tokens",
     )
