@@ -51,27 +51,41 @@ def tokens_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterato
         yield np.where(short, whole, mix(word_hashes(data, np.maximum(ends - n, starts), ends), 16 + n))
 
 
+def _summed(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Values added up by key; fast when the keys are a few sorted runs."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = keys[1:] != keys[:-1]
+    first = np.flatnonzero(new)
+    return (keys[first], *[np.add.reduceat(x[order], first) if len(first) else x for x in values])
+
+
 class Counts:
     """How many texts of each label hold a token, kept for a bounded number of tokens at a time."""
 
-    MOST = 500_000
+    PENDING, MOST = 1_000_000, 1_500_000
 
     def __init__(self) -> None:
         self.keys, self.yes, self.both = (np.zeros(0, t) for t in (np.uint64, np.int64, np.int64))
         self.sums = {DOCUMENTS: [0, 0], WORDS: [0, 0]}
+        self._pending: list[tuple[np.ndarray, np.ndarray]] = []
 
     def add(self, keys: np.ndarray, toxic: np.ndarray) -> None:
-        keys = np.concatenate([self.keys, keys])
-        yes, both = np.concatenate([self.yes, toxic]), np.concatenate([self.both, np.ones(len(toxic), np.int64)])
-        order = np.argsort(keys, kind="stable")
-        keys = keys[order]
-        new = np.ones(len(keys), dtype=bool)
-        new[1:] = keys[1:] != keys[:-1]
-        first = np.flatnonzero(new)
-        self.keys = keys[first]
-        self.yes, self.both = (np.add.reduceat(x[order], first) if len(first) else x for x in (yes, both))
+        self._pending.append((keys, toxic))
+        if sum(len(k) for k, _ in self._pending) > self.PENDING:
+            self.merge()
+
+    def merge(self) -> None:
+        if not self._pending:
+            return
+        keys, toxic = (np.concatenate(x) for x in zip(*self._pending, strict=True))
+        self._pending = []
+        new = _summed(keys, toxic, np.ones(len(keys), dtype=np.int64))
+        self.keys, self.yes, self.both = _summed(*[np.concatenate(x) for x in zip((self.keys, self.yes, self.both), new, strict=True)])
 
     def rows(self) -> pa.RecordBatch:
+        self.merge()
         token = np.concatenate([self.keys.view(np.int64), np.array(list(self.sums), dtype=np.int64)])
         yes = np.concatenate([self.yes, [x[0] for x in self.sums.values()]])
         no = np.concatenate([self.both - self.yes, [x[1] for x in self.sums.values()]])
