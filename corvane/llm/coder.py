@@ -32,81 +32,85 @@ from corvane.llm import tokens
 
 MAGIC = b"CVTB"
 HEADER = struct.Struct("<4sIIIIII")  # magic, ids, documents, lanes, vocabulary, crc32 of the ids, crc32 of the rest
-BLOCK_IDS, LANES, STEP = 1 << 20, 1024, 64
+BLOCK_IDS, LANES, STEP = 1 << 20, 2048, 64
 U = np.uint64
-LOW_BITS, WORD = U((1 << 48) - 1), U(1 << 32)
-SCALE = 4096
+WORD = U(1 << 48)
+SCALE, SCALE_BITS = 4096, U(12)
 RECORDS = "shard int, block int, n_ids long, record binary"
 READ = "shard int, block int, doc_id long, local long, n_tokens long, ids_crc32 long"
 
 
 class Model:
-    """What a block has shown so far; the coder and the decoder make the same calls."""
+    """What a block has shown so far; the coder and the decoder make the same calls.
+
+    A cell of orders 1 and 2 holds the id it expects, shifted by three bits, and how sure it is of it in these bits.
+    """
 
     def __init__(self, vocabulary: int) -> None:
-        self.count = np.ones(vocabulary, dtype=np.int64)
-        self.next1, self.sure1 = np.zeros(1 << 16, dtype=np.int64), np.zeros(1 << 16, dtype=np.int64)
-        self.next2, self.sure2 = np.zeros(1 << 20, dtype=np.int64), np.zeros(1 << 20, dtype=np.int64)
-        self.seen = np.ones((128, 3), dtype=np.int64)
+        self.count = np.ones(vocabulary, dtype=np.uint64)
+        self.cells1, self.cells2 = np.zeros(vocabulary, dtype=np.int32), np.zeros(1 << 20, dtype=np.int32)
+        self.seen = np.ones(384, dtype=np.int64)
+        self.edges = np.zeros((128, 4), dtype=np.uint64)
+        self.edges[:, 3] = SCALE
         self.steps, self.pending = 0, []
         self._rebuild()
+        self._share()
 
     def _rebuild(self) -> None:
-        for ids in self.pending:
-            self.count += 24 * np.bincount(ids, minlength=len(self.count))
+        if self.pending:
+            self.count += np.bincount(np.concatenate(self.pending), minlength=len(self.count)).astype(np.uint64) * U(24)
         self.pending = []
-        self.below = np.concatenate([[0], np.cumsum(self.count)])
+        self.below = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.count)])
+        self.total = self.below[-1]
 
     def count_at(self, ids: np.ndarray) -> np.ndarray:
-        return self.below[ids + 1] - self.below[ids]
+        return self.below.take(ids + 1) - self.below.take(ids)
+
+    def _share(self) -> None:
+        seen = self.seen.reshape(128, 3)
+        shares = 1 + seen[:, :2] * (SCALE - 3) // seen.sum(axis=1, keepdims=True)
+        self.edges[:, 1:3] = np.cumsum(shares, axis=1)
 
     def predict(self, before2: np.ndarray, before1: np.ndarray) -> None:
         """The ids that orders 2 and 1 expect, and how the three outcomes share the scale."""
         self.at2 = ((before2 * 40503) ^ (before1 * 2654435761 >> 7)) & ((1 << 20) - 1)
         self.at1 = before1
-        self.id2, self.id1 = self.next2[self.at2], self.next1[before1]
-        self.context = self.sure2[self.at2] * 8 + self.sure1[before1] + 64 * (self.id1 == self.id2)
-        total = self.seen.sum(axis=1, keepdims=True)
-        shares = 1 + self.seen[:, :2] * (SCALE - 3) // total
-        shares = np.concatenate([np.zeros((128, 1), np.int64), np.cumsum(shares, axis=1), np.full((128, 1), SCALE)], axis=1)
-        self.edges = shares[self.context]
-
-    def learn(self, ids: np.ndarray, outcome: np.ndarray) -> None:
-        self.seen += np.bincount(self.context * 3 + outcome, minlength=384).reshape(128, 3)
-        for after, sure, at, said in ((self.next2, self.sure2, self.at2, self.id2), (self.next1, self.sure1, self.at1, self.id1)):
-            trust = sure[at]
-            right = said == ids
-            after[at] = np.where(right | (trust > 1), said, ids)
-            sure[at] = np.where(right, np.minimum(trust + 1, 7), np.maximum(trust - 1, 0) + (trust <= 1))
-        if (outcome == 2).any():
-            self.pending.append(ids[outcome == 2])
+        self.cell2, self.cell1 = self.cells2.take(self.at2), self.cells1.take(before1)
+        self.id2, self.id1 = self.cell2 >> 3, self.cell1 >> 3
+        self.context = ((self.cell2 & 7) << 3) + (self.cell1 & 7) + ((self.id1 == self.id2) * np.int32(64))
+
+    def learn(self, ids: np.ndarray, outcome: np.ndarray, rare: np.ndarray) -> None:
+        self.seen += np.bincount(self.context * 3 + outcome, minlength=384)
+        anew = (ids << 3).astype(np.int32) + np.int32(1)
+        for cells, at, cell, said in ((self.cells2, self.at2, self.cell2, self.id2), (self.cells1, self.at1, self.cell1, self.id1)):
+            trust = cell & 7
+            cells[at] = np.where(said == ids, cell + (trust < 7), np.where(trust > 1, cell - 1, anew))
+        if len(rare):
+            self.pending.append(ids[rare])
         self.steps += 1
         if self.steps % STEP == 0 or self.steps & (self.steps - 1) == 0:
             self._rebuild()
+        if self.steps % 4 == 0 or self.steps < 16:
+            self._share()
 
 
 class Ranges:
-    """The range coders of the lanes: 48-bit ranges, 16-bit words, no carries."""
+    """The range coders of the lanes: 64-bit ranges, 16-bit words, no carries; sums wrap."""
 
     def __init__(self, lanes: int) -> None:
         self.low = np.zeros(lanes, dtype=np.uint64)
-        self.range = np.full(lanes, LOW_BITS, dtype=np.uint64)
-
-    def narrow(self, lanes, start: np.ndarray, size: np.ndarray, unit: np.ndarray) -> None:
-        self.low[lanes] = (self.low[lanes] + start.astype(np.uint64) * unit) & LOW_BITS
-        self.range[lanes] = size.astype(np.uint64) * unit
-
-    def ready(self) -> np.ndarray:
-        """Lanes with a word to move."""
-        same = (self.low ^ (self.low + self.range)) < WORD
-        tight = ~same & (self.range < WORD)
-        if tight.any():
-            self.range[tight] = (~self.low[tight] + U(1)) & (WORD - U(1))
-        return np.flatnonzero(same | tight)
+        self.range = np.full(lanes, ~U(0), dtype=np.uint64)
 
-    def shift(self, lanes: np.ndarray) -> None:
-        self.low[lanes] = (self.low[lanes] << U(16)) & LOW_BITS
-        self.range[lanes] = self.range[lanes] << U(16)
+    def moves(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Lanes with a word to move, and that word, until every range is wide again."""
+        at = np.flatnonzero(((self.low ^ (self.low + self.range)) < WORD) | (self.range < WORD))
+        while len(at):
+            low, width = self.low[at], self.range[at]
+            width = np.where((low ^ (low + width)) < WORD, width, (~low + U(1)) & (WORD - U(1))) << U(16)
+            yield at, low >> U(48)
+            low = low << U(16)
+            self.low[at], self.range[at] = low, width
+            at = at[((low ^ (low + width)) < WORD) | (width < WORD)]
 
 
 def _layout(n: int) -> tuple[int, int]:
@@ -120,36 +124,39 @@ def encode_ids(ids: np.ndarray, vocabulary: int) -> tuple[int, np.ndarray, bytes
     lanes, steps = _layout(n)
     grid = np.zeros(lanes * steps, dtype=np.int64)
     grid[:n] = ids
-    grid = grid.reshape(lanes, steps)
+    grid = np.ascontiguousarray(grid.reshape(lanes, steps).T)
     model, coder = Model(vocabulary), Ranges(lanes)
-    out, filled = np.zeros((lanes, 2 * steps + 16), dtype="<u2"), np.zeros(lanes, dtype=np.int64)
-    every = np.arange(lanes)
-
-    def flush() -> None:
-        while len(at := coder.ready()):
-            out[at, filled[at]] = (coder.low[at] >> U(32)).astype(np.uint16)
-            filled[at] += 1
-            coder.shift(at)
+    width = 3 * steps + 16
+    out = np.zeros(lanes * width, dtype="<u2")
+    first = np.arange(lanes) * width
+    place = first.copy()
 
     before2 = before1 = np.zeros(lanes, dtype=np.int64)
-    for t in range(steps):
-        now = grid[:, t]
+    for now in grid:
         model.predict(before2, before1)
         outcome = np.where(now == model.id2, 0, np.where(now == model.id1, 1, 2))
-        start, end = model.edges[every, outcome], model.edges[every, outcome + 1]
-        coder.narrow(slice(None), start, end - start, coder.range // U(SCALE))
-        flush()
+        edge = model.context * 4 + outcome
+        edges = model.edges.ravel()
+        start = edges.take(edge)
+        unit = coder.range >> SCALE_BITS
+        coder.low += start * unit
+        coder.range = (edges.take(edge + 1) - start) * unit
         rare = np.flatnonzero(outcome == 2)
         if len(rare):
             own = now[rare]
-            coder.narrow(rare, model.below[own], model.count_at(own), coder.range[rare] // U(model.below[-1]))
-            flush()
-        model.learn(now, outcome)
+            unit = coder.range[rare] // model.total
+            coder.low[rare] += model.below.take(own) * unit
+            coder.range[rare] = model.count_at(own) * unit
+        for at, word in coder.moves():
+            out[place[at]] = word
+            place[at] += 1
+        model.learn(now, outcome, rare)
         before2, before1 = before1, now
-    for shift in (32, 16, 0):
-        out[every, filled] = ((coder.low >> U(shift)) & U(0xFFFF)).astype(np.uint16)
-        filled += 1
-    return lanes, filled, out[np.arange(out.shape[1]) < filled[:, None]].tobytes()
+    for shift in (48, 32, 16, 0):
+        out[place] = (coder.low >> U(shift)) & U(0xFFFF)
+        place += 1
+    filled = place - first
+    return lanes, filled, out.reshape(lanes, width)[np.arange(width) < filled[:, None]].tobytes()
 
 
 def decode_ids(n: int, vocabulary: int, lanes: int, words: np.ndarray, code: bytes) -> np.ndarray:
@@ -159,40 +166,41 @@ def decode_ids(n: int, vocabulary: int, lanes: int, words: np.ndarray, code: byt
     first = np.concatenate([[0], np.cumsum(words)])[:-1]
     data = np.concatenate([np.frombuffer(code, dtype="<u2"), np.zeros(4, dtype="<u2")]).astype(np.uint64)
     model, coder = Model(vocabulary), Ranges(lanes)
-    value = (data[first] << U(32)) | (data[first + 1] << U(16)) | data[first + 2]
-    place = first + 3
-    grid = np.zeros((lanes, steps), dtype=np.int64)
-    every = np.arange(lanes)
-
-    def refill() -> None:
-        nonlocal value
-        while len(at := coder.ready()):
-            value[at] = ((value[at] << U(16)) | data[np.minimum(place[at], len(data) - 1)]) & LOW_BITS
-            place[at] += 1
-            coder.shift(at)
+    value = np.zeros(lanes, dtype=np.uint64)
+    for word in range(4):
+        value = (value << U(16)) | data[first + word]
+    place = first + 4
+    grid = np.zeros((steps, lanes), dtype=np.int64)
 
     before2 = before1 = np.zeros(lanes, dtype=np.int64)
-    for t in range(steps):
+    for now in grid:
         model.predict(before2, before1)
-        unit = coder.range // U(SCALE)
-        share = (((value - coder.low) & LOW_BITS) // unit).astype(np.int64)
-        outcome = (share >= model.edges[:, 1]).astype(np.int64) + (share >= model.edges[:, 2])
-        now = np.where(outcome == 0, model.id2, model.id1)
-        start, end = model.edges[every, outcome], model.edges[every, outcome + 1]
-        coder.narrow(slice(None), start, end - start, unit)
-        refill()
+        unit = coder.range >> SCALE_BITS
+        inside = value - coder.low
+        edges = model.edges.ravel()
+        row = model.context * 4
+        outcome = (inside >= edges.take(row + 1) * unit).astype(np.int32) + (inside >= edges.take(row + 2) * unit)
+        now[:] = np.where(outcome == 0, model.id2, model.id1)
+        edge = row + outcome
+        start = edges.take(edge)
+        coder.low += start * unit
+        coder.range = (edges.take(edge + 1) - start) * unit
         rare = np.flatnonzero(outcome == 2)
         if len(rare):
-            unit = coder.range[rare] // U(model.below[-1])
-            share = (((value[rare] - coder.low[rare]) & LOW_BITS) // unit).astype(np.int64)
-            own = np.searchsorted(model.below, share, side="right") - 1
+            unit = coder.range[rare] // model.total
+            share = (value[rare] - coder.low[rare]) // unit
+            order = np.argsort(share)  # a search for ascending values runs through memory once
+            own = np.empty(len(rare), dtype=np.int64)
+            own[order] = np.searchsorted(model.below, share[order], side="right") - 1
             now[rare] = own
-            coder.narrow(rare, model.below[own], model.count_at(own), unit)
-            refill()
-        grid[:, t] = now
-        model.learn(now, outcome)
+            coder.low[rare] += model.below.take(own) * unit
+            coder.range[rare] = model.count_at(own) * unit
+        for at, _ in coder.moves():
+            value[at] = (value[at] << U(16)) | data[np.minimum(place[at], len(data) - 1)]
+            place[at] += 1
+        model.learn(now, outcome, rare)
         before2, before1 = before1, now
-    return grid.ravel()[:n]
+    return grid.T.ravel()[:n]
 
 
 def write_record(names: list[int | None], sizes: list[int], ids: np.ndarray, vocabulary: int) -> bytes:
