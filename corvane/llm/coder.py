@@ -32,7 +32,7 @@ from corvane.llm import tokens
 
 MAGIC = b"CVTB"
 HEADER = struct.Struct("<4sIIIIII")  # magic, ids, documents, lanes, vocabulary, crc32 of the ids, crc32 of the rest
-BLOCK_IDS, LANES, STEP = 1 << 20, 2048, 64
+BLOCK_IDS, LANES, STEP = 1 << 21, 4096, 64
 U = np.uint64
 WORD = U(1 << 48)
 SCALE, SCALE_BITS = 4096, U(12)
