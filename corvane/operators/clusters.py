@@ -10,12 +10,10 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window, functions as F
 
+from corvane.lineage import cut
 from corvane.operators.fits import fit_each
 from corvane.operators.neighbours import nearest_neighbours
 
-MAX_MICRO = 200
-
-
 def with_features(df: DataFrame, vector: str, output: str = "features") -> DataFrame:
     return df.withColumn(output, array_to_vector(F.col(vector)))
 
@@ -71,7 +69,7 @@ def cell_summaries(df: DataFrame, cell: str) -> DataFrame:
 
 
 def merge_cells(summaries: Sequence, k: int) -> dict[int, int]:
-    """Ward's merges on at most a few hundred cell summaries, until ``k`` groups are left."""
+    """Ward's merges on the summaries of ``micro`` cells, until ``k`` groups are left."""
     groups = {r.cell: [r.cell] for r in summaries}
     n = {r.cell: float(r.n) for r in summaries}
     mean = {r.cell: np.array(r.sums) / r.n for r in summaries}
@@ -91,40 +89,74 @@ def merge_cells(summaries: Sequence, k: int) -> dict[int, int]:
 
 
 def _relabel(df: DataFrame, key: str, cell: str, mapping: dict[int, int]) -> DataFrame:
-    """Labels by position in a literal array of at most ``MAX_MICRO`` entries; empty cells never occur in rows."""
+    """Labels by position in a literal array of ``micro`` entries; empty cells never occur in rows."""
     table = F.array(*[F.lit(mapping.get(i, 0)) for i in range(max(mapping) + 1)])
     return df.select(key, F.get(table, F.col(cell)).alias("label"))
 
 
 def ward(df: DataFrame, key: str, vector: str, k: int = 2, micro: int = 100, seed: int = 1) -> DataFrame:
-    """Hierarchical clustering of micro-clusters: Spark summarises, only summaries are merged."""
+    """Hierarchical clustering of micro-clusters: Spark summarises, only ``micro`` summaries are merged."""
     points = with_features(df, vector).select(key, "features")
-    cells = fit_kmeans(points, min(micro, MAX_MICRO), seed=seed, iterations=20).transform(points)
+    cells = fit_kmeans(points, micro, seed=seed, iterations=20).transform(points)
     summaries = cell_summaries(cells, "prediction").collect()
     return _relabel(cells, key, "prediction", merge_cells(summaries, k))
 
 
 def birch(
-    df: DataFrame, key: str, vector: str, k: int = 2, threshold: float = 0.5, cells: int = 25, seed: int = 1
+    df: DataFrame, key: str, vector: str, k: int = 2, threshold: float = 0.5, micro: int = 200, seed: int = 1
 ) -> DataFrame:
-    """Cells no wider than the threshold, as far as the cell budget allows, then merged by their summaries."""
-    points = with_features(df, vector).select(key, "features").persist()
-    try:
-        while True:
-            placed = fit_kmeans(points, cells, seed=seed, iterations=20).transform(points)
-            summaries = cell_summaries(placed, "prediction").collect()
-            widest = max(cell_radius(r) for r in summaries)
-            if widest <= threshold or cells >= MAX_MICRO:
-                break
-            cells = min(2 * cells, MAX_MICRO)
-    finally:
-        points.unpersist()
-    return _relabel(placed, key, "prediction", merge_cells(summaries, k))
+    """Cells no wider than the threshold, however many that takes, then merged by their summaries.
+
+    The means of the cells, weighted by their sizes, are grouped into ``micro`` clusters where there
+    are more of them, and these are merged by Ward's criterion.
+    """
+    placed = narrow_cells(with_features(df, vector).select(key, "features"), key, threshold)
+    means = cut(
+        placed.groupBy("cell").agg(Summarizer.mean(F.col("features")).alias("features"), F.count("*").alias("weight")),
+        "means",
+    )
+    model = KMeans(k=micro, maxIter=20, seed=seed, weightCol="weight").fit(means)
+    groups = cut(model.transform(means).select("cell", "prediction"), "groups")
+    grouped = placed.join(groups, "cell").select(key, "features", "prediction")
+    return _relabel(grouped, key, "prediction", merge_cells(cell_summaries(grouped, "prediction").collect(), k))
 
 
-def cell_radius(r) -> float:
-    centre = np.array(r.sums) / r.n
-    return float(np.sqrt(max(r.squares / r.n - float(centre @ centre), 0.0)))
+def cell_radii(placed: DataFrame) -> DataFrame:
+    """(cell, radius, dim, at): root mean square distance to the mean; the widest feature and its mean."""
+    stats = placed.groupBy("cell").agg(
+        F.count("*").alias("n"),
+        vector_to_array(Summarizer.mean(F.col("features"))).alias("mean"),
+        vector_to_array(Summarizer.variance(F.col("features"))).alias("spread"),
+    )
+    total = F.aggregate("spread", F.lit(0.0), lambda acc, x: acc + x)
+    dim = F.array_position("spread", F.array_max("spread")).cast("int")
+    radius = F.when(F.col("n") > 1, F.sqrt(total * (F.col("n") - 1) / F.col("n"))).otherwise(0.0)
+    return stats.select("cell", radius.alias("radius"), dim.alias("dim"), F.get("mean", dim - 1).alias("at"))
+
+
+def narrow_cells(points: DataFrame, key: str, threshold: float) -> DataFrame:
+    """Points with a cell of radius at most ``threshold``.
+
+    Every round halves the cells that are too wide at the mean of their widest feature, so the rounds
+    follow the depth of the splits and not the number of cells. Cells are named by a hash of their
+    path. A cell whose points differ by less than rounding can show is left as it is.
+    """
+    done, open_cells = None, cut(points.select(key, "features", F.lit(0).cast("bigint").alias("cell")), "cells")
+    while True:
+        radii = cut(cell_radii(open_cells), "radii")
+        wide = radii.filter(F.col("radius") > threshold).select("cell", "dim", "at")
+        kept = open_cells.join(wide.select("cell"), "cell", "left_anti").select(key, "features", "cell")
+        done = kept if done is None else done.unionByName(kept)
+        if wide.isEmpty():
+            return cut(done, "cells")
+        side = F.get(vector_to_array("features"), F.col("dim") - 1) > F.col("at")
+        split = open_cells.join(wide, "cell").withColumn("right", side)
+        halves = cut(split.select(key, "features", F.xxhash64("cell", "right").alias("cell"), F.col("cell").alias("was")), "cells")
+        # rounding can leave all points of a cell on one side: such a cell is done
+        parts = halves.groupBy("was").agg(F.min("cell").alias("a"), F.max("cell").alias("b"))
+        stuck = cut(parts.filter("a = b").select("was"), "stuck")
+        done = done.unionByName(halves.join(stuck, "was").select(key, "features", "cell"))
+        open_cells = halves.join(stuck, "was", "left_anti").select(key, "features", "cell")
 
 
 def spectral(

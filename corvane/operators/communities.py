@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame, functions as F
 
 from corvane.lineage import cut
@@ -54,15 +56,16 @@ def louvain(
     edges: DataFrame,
     weight: str | None = None,
     resolution: float = 1.0,
-    max_levels: int = 8,
-    max_rounds: int = 12,
-    min_gain: float = 3e-3,
+    max_levels: int | None = None,
+    max_rounds: int | None = None,
+    min_gain: float = 1e-7,
     seed: int = 7,
 ) -> DataFrame:
     """Community of every node at every level, as (id, level, community).
 
     The best labels seen are kept, so modularity never falls from one level to the next; a level
-    ends when a round gains less than ``min_gain``.
+    ends when a round gains less than ``min_gain``, and the last level is the one that gains
+    nothing. ``max_levels`` and ``max_rounds`` end it earlier for a caller who asks for that.
     """
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
     level_edges = cut(edges.select("src", "dst", w.alias("w")), "edges")
@@ -74,7 +77,7 @@ def louvain(
 
     level_nodes = member.select("id")
     quality = _score(level_edges, member, resolution)
-    for level in range(1, max_levels + 1):
+    for level in count(1) if max_levels is None else range(1, max_levels + 1):
         both = cut(symmetric(level_edges.filter("src <> dst")), "both")
         ends = symmetric(level_edges).groupBy(F.col("src").alias("id")).agg(F.sum("w").alias("k"))
         labels = best = cut(
@@ -84,7 +87,7 @@ def louvain(
             "labels",
         )
         best_quality = quality
-        for turn in range(max_rounds):
+        for turn in count() if max_rounds is None else range(max_rounds):
             for half in (0, 1):
                 labels = cut(_local_moves(both, labels, two_m, resolution, half, seed + turn), "labels")
             now = _score(level_edges, labels, resolution)

@@ -47,9 +47,11 @@ def cooccurrence_edges(
     filtering (Chaudhuri et al., 2006): a pair that meets in large groups only must share one
     outside the ``min_weight - 1`` largest groups of each item, so a single huge group yields
     no pairs. What is left of a large group is cut into blocks of at most ``light`` items, and
-    the candidates are counted exactly by joins on their memberships.
+    the candidates are counted exactly by joins on their memberships. Rows without a group or
+    without an item link nothing.
     """
-    rows = cut(members.select(F.col(group).alias("g"), F.col(item).alias("i")).distinct(), "members")
+    named = members.select(F.col(group).alias("g"), F.col(item).alias("i")).na.drop()
+    rows = cut(named.distinct(), "members")
     sizes = rows.groupBy("g").agg(F.count("*").alias("n"))
     large = sizes.filter(F.col("n") > light)
     if large.isEmpty():

@@ -74,14 +74,15 @@ def oversample(
 ) -> DataFrame:
     """Repeat rows of one class until it matches the other; no row is repeated more than once.
 
-    ``copy`` is 0 for original rows and 1 for repeats, so (key, copy) stays a key.
+    ``copy`` is 0 for original rows and 1 for repeats, so (key, copy) stays a key.  A class that is
+    already the larger one is left as it is.
     """
     groups = [F.col(c).alias(f"__by{i}") for i, c in enumerate(by)]
     sizes = df.groupBy(*groups).agg(
         F.count_if(F.col(label) == F.lit(minority)).alias("n0"),
         F.count_if(F.col(label) == F.lit(other)).alias("n1"),
     )
-    missing = F.least(F.abs(F.col("n1") - F.col("n0")), F.col("n0"))
+    missing = F.least(F.greatest(F.col("n1") - F.col("n0"), F.lit(0)), F.col("n0"))
     ranked = hash_rank(df.filter(F.col(label) == F.lit(minority)), keys, seed, by=by)
     if by:
         match = F.lit(True)

@@ -86,6 +86,28 @@ def _to_pivots(vectors: pd.Series, pivots: np.ndarray, p: float) -> np.ndarray:
     return np.stack([_norms(rows, c, p) for c in pivots], axis=1)
 
 
+def _candidates(asked: np.ndarray, rows: np.ndarray, k: int, p: float, chunk: int = 256) -> Iterator[np.ndarray]:
+    """For each query, the rows that can be among its k nearest.
+
+    Euclidean distances come from one matrix product per chunk of queries. Its rounding is far below
+    the margin added to the k-th distance, and the caller measures the rows again.
+    """
+    if p != 2 or len(rows) <= k:
+        every = np.arange(len(rows))
+        yield from (every for _ in asked)
+        return
+    squares = (rows * rows).sum(axis=1)
+    for first in range(0, len(asked), chunk):
+        part = asked[first : first + chunk]
+        own = (part * part).sum(axis=1)
+        gaps = own[:, None] + squares[None, :] - 2.0 * (part @ rows.T)
+        margin = 1e-9 * (own + squares.max())
+        limit = np.partition(gaps, k - 1, axis=1)[:, k - 1] + margin
+        for row, cutoff in zip(gaps, limit):
+            # a row without finite numbers has no order: leave the choice to the exact distances
+            yield np.flatnonzero(row <= cutoff) if np.isfinite(cutoff) else np.arange(len(rows))
+
+
 def nearest_neighbours(
     queries: DataFrame,
     points: DataFrame,
@@ -102,13 +124,16 @@ def nearest_neighbours(
 ) -> DataFrame:
     """The exact k nearest points of every query: (by, query, point, dist, rank, carried columns).
 
-    With ``by``, a query sees only the points with its value of that column, as in folds or runs.
+    With ``by``, a query sees only the points with its value of that column, as in folds or runs;
+    rows without a value of it take no part.
     By default there is a pivot per ``PER_PIVOT`` points, within ``FEWEST`` and ``MOST`` pivots.
     """
     if pivots is None:
         pivots = min(MOST, max(FEWEST, points.count() // PER_PIVOT))
     spark = queries.sparkSession
-    by_col = F.col(by).cast("int") if by else F.lit(0)
+    if by:
+        queries, points = queries.filter(F.col(by).isNotNull()), points.filter(F.col(by).isNotNull())
+    by_col = F.col(by) if by else F.lit(0)
     q = queries.select(by_col.alias("by"), F.col(query_key).alias("query"), F.col(vector).alias("v"))
     s = points.select(
         by_col.alias("by"), F.col(point_key).alias("point"), F.col(vector).alias("v"), F.struct(
@@ -127,6 +152,8 @@ def nearest_neighbours(
         cell = d.argmin(axis=1)
         return pd.DataFrame({"cell": cell.astype("int32"), "gap": d[np.arange(len(d)), cell]})
 
+    by_type = q.schema["by"].dataType
+    by_name = by_type.simpleString()
     q = cut(q.withColumn("h", home("v")).select("by", "query", "v", "h.cell", "h.gap"), "queries")
 
     def smallest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -144,7 +171,7 @@ def nearest_neighbours(
                 {"by": g, "cell": np.tile(np.arange(len(at)), n).astype("int32"), "gap": rows.reshape(-1)}
             )
 
-    near = s.select("by", "v").mapInPandas(smallest, "by int, cell int, gap double")
+    near = s.select("by", "v").mapInPandas(smallest, f"by {by_name}, cell int, gap double")
     order = Window.partitionBy("by", "cell").orderBy("gap")
     reach = (
         near.withColumn("r", F.row_number().over(order))
@@ -179,7 +206,7 @@ def nearest_neighbours(
     counts = {(r.by, r.cell): r.n for r in spread.groupBy("by", "cell").agg(F.count("*").alias("n")).collect()}
     sizes = spark.createDataFrame(
         [(g, c, -(-nq // block), -(-counts.get((g, c), 1) // block)) for g, c, nq, _ in limits],
-        "by int, cell int, qbs int, pbs int",
+        f"by {by_name}, cell int, qbs int, pbs int",
     )
     upto = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     left = (
@@ -195,7 +222,7 @@ def nearest_neighbours(
     cell = ["by", "cell", "qb", "pb"]
     out = T.StructType(
         [
-            T.StructField("by", T.IntegerType()),
+            T.StructField("by", by_type),
             T.StructField("query", q.schema["query"].dataType),
             T.StructField("point", s.schema["point"].dataType),
             T.StructField("dist", T.DoubleType()),
@@ -209,16 +236,15 @@ def nearest_neighbours(
         rows = np.stack(b["v"].to_numpy()).astype(float)
         ids = b["point"].to_numpy()
         parts = []
-        for query, v in zip(a["query"], a["v"]):
-            d = _norms(rows, np.asarray(v, dtype=float), p)
-            cutoff = np.partition(d, k - 1)[k - 1] if len(d) > k else np.inf
-            near = np.flatnonzero(d <= cutoff)
-            near = near[np.lexsort((ids[near], d[near]))][:k]
-            parts.append((query, near, d[near]))
+        asked = np.stack(a["v"].to_numpy()).astype(float)
+        for query, v, near in zip(a["query"], asked, _candidates(asked, rows, k, p)):
+            d = _norms(rows[near], v, p)
+            best = np.lexsort((ids[near], d))[:k]
+            parts.append((query, near[best], d[best]))
         picked = np.concatenate([n for _, n, _ in parts])
         return pd.DataFrame(
             {
-                "by": int(a["by"].iloc[0]),
+                "by": a["by"].iloc[0],
                 "query": np.repeat([x for x, _, _ in parts], [len(n) for _, n, _ in parts]),
                 "point": ids[picked],
                 "dist": np.concatenate([d for _, _, d in parts]),

@@ -23,6 +23,24 @@ def csv_roundtrip(spark, folder):
     return files.read_csv(spark, path, rows.schema)
 
 
+@query("csv_by_name", "SELECT c_custkey, c_name, c_acctbal FROM customer")
+def csv_by_name(spark, folder):
+    """Some columns of a file whose columns stand in another order."""
+    rows = persons(spark, folder)
+    path = fresh_path(spark, "csv")
+    files.write_csv(rows.select(*reversed(rows.columns)), path)
+    return files.read_csv(spark, path, rows.select("c_custkey", "c_name", "c_acctbal").schema)
+
+
+@query("csv_multiline", "SELECT doc_id, nullif(text, '') AS text FROM documents")
+def csv_multiline(spark, folder):
+    """Whole texts with their line breaks, through a file."""
+    rows = table(spark, folder, "documents").select("doc_id", "text")
+    path = fresh_path(spark, "csv")
+    files.write_csv(rows, path)
+    return files.read_csv(spark, path, rows.schema, multi_line=True)
+
+
 @query(
     "indexed_csv",
     "SELECT c_custkey AS index, c_name AS body, 1 AS subreddit FROM customer",

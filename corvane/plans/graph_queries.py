@@ -125,7 +125,8 @@ def community_count(spark, folder):
 @query(
     "induced_subgraph",
     f"""WITH {EDGES} SELECT src, dst, weight FROM edges
-        WHERE src IN (SELECT id FROM degs WHERE degree >= 4) AND dst IN (SELECT id FROM degs WHERE degree >= 4)""",
+        SEMI JOIN (SELECT id AS src FROM degs WHERE degree >= 4) USING (src)
+        SEMI JOIN (SELECT id AS dst FROM degs WHERE degree >= 4) USING (dst)""",
 )
 def induced_subgraph(spark, folder):
     nodes, edges = part_graph(spark, folder)

@@ -112,7 +112,7 @@ def read_comments(spark: SparkSession, paths: dict[tuple[str, int], str]) -> Dat
     """CSV files by (split, label) in one table with a key: (key, body, subreddit, split)."""
     parts = []
     for (split, label), path in paths.items():
-        rows = files.without_index(files.read_csv(spark, path, COMMENTS))
+        rows = files.without_index(files.read_csv(spark, path, COMMENTS, multi_line=True))
         key = F.concat_ws("/", F.lit(split), F.lit(label), "index")
         parts.append(features.with_label(rows, "subreddit", label).select(key.alias("key"), "body", "subreddit", F.lit(split).alias("split")))
     table = parts[0]
@@ -145,13 +145,12 @@ def classify_comments(
 
 
 def read_measurements(spark: SparkSession, path: str, columns: Sequence[str], scale: bool = True) -> DataFrame:
-    """(id, v, truth) of a table with a diagnosis and numeric columns; the empty last column is dropped."""
+    """(id, v, truth) of a table with a diagnosis and numeric columns; other columns play no part."""
     schema = T.StructType(
         [T.StructField("id", T.LongType()), T.StructField("diagnosis", T.StringType())]
         + [T.StructField(c, T.DoubleType()) for c in columns]
-        + [T.StructField("_unnamed", T.StringType())]
     )
-    rows = files.read_csv(spark, path, schema).drop("_unnamed")
+    rows = files.read_csv(spark, path, schema)
     if scale:
         rows = features.scaled_columns(rows, columns)
     return rows.select(

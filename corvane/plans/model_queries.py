@@ -164,7 +164,7 @@ def doc_vectors(spark, folder):
 @query(
     "vector_attach",
     """SELECT d.doc_id, d.lang, round(list_sum(list_transform(e.embedding, lambda x: CAST(x AS DOUBLE))), 6) AS total
-       FROM documents d JOIN embeddings e ON e.vec_id = d.doc_id""",
+       FROM documents d LEFT JOIN embeddings e ON e.vec_id = d.doc_id""",
 )
 def vector_attach(spark, folder):
     rows = table(spark, folder, "documents").select("doc_id", "lang")

@@ -76,12 +76,24 @@ def kfold_assign(spark, folder):
     f"""WITH {_D}, n AS (SELECT count(*) FILTER (WHERE toxic = 1) AS n0, count(*) FILTER (WHERE toxic = 0) AS n1 FROM d),
              r AS (SELECT doc_id, toxic, row_number() OVER (ORDER BY {_U}, doc_id) AS rk FROM d WHERE toxic = 1)
         SELECT doc_id, toxic, 0 AS copy FROM d
-        UNION ALL SELECT doc_id, toxic, 1 AS copy FROM r, n WHERE rk <= least(abs(n1 - n0), n0)""",
+        UNION ALL SELECT doc_id, toxic, 1 AS copy FROM r, n WHERE rk <= least(greatest(n1 - n0, 0), n0)""",
 )
 def oversample(spark, folder):
     return features.oversample(rows(spark, folder).select("doc_id", "toxic"), ["doc_id"], "toxic", 1, 0, SEED)
 
 
+@query(
+    "oversample_larger",
+    f"""WITH {_D}, n AS (SELECT count(*) FILTER (WHERE toxic = 0) AS n0, count(*) FILTER (WHERE toxic = 1) AS n1 FROM d),
+             r AS (SELECT doc_id, toxic, row_number() OVER (ORDER BY {_U}, doc_id) AS rk FROM d WHERE toxic = 0)
+        SELECT doc_id, toxic, 0 AS copy FROM d
+        UNION ALL SELECT doc_id, toxic, 1 AS copy FROM r, n WHERE rk <= least(greatest(n1 - n0, 0), n0)""",
+)
+def oversample_larger(spark, folder):
+    """The class named is the larger one: nothing is repeated."""
+    return features.oversample(rows(spark, folder).select("doc_id", "toxic"), ["doc_id"], "toxic", 0, 1, SEED)
+
+
 @query(
     "union_split",
     f"""WITH {_D}, {_RANKED} SELECT doc_id, n_chars FROM r WHERE rk <= round_even(cn * 0.2, 0)""",

@@ -257,3 +257,17 @@ def whole_word_mentions(spark, folder):
 )
 def coorder_graph_edges(spark, folder):
     return cooccurrence.cooccurrence_edges(table(spark, folder, "lineitem"), "l_orderkey", "l_partkey")
+
+
+@query(
+    "pairs_null_group",
+    """WITH items AS (SELECT DISTINCT CASE WHEN l_returnflag <> 'R' THEN l_orderkey END AS g, l_partkey AS i FROM lineitem)
+       SELECT a.i AS src, b.i AS dst, count(*) AS weight
+       FROM items a JOIN items b ON a.g = b.g AND a.i < b.i GROUP BY 1, 2""",
+)
+def pairs_null_group(spark, folder):
+    """Items without a group, here what was returned, are linked to nothing."""
+    items = table(spark, folder, "lineitem").select(
+        F.when(F.col("l_returnflag") != "R", F.col("l_orderkey")).alias("g"), "l_partkey"
+    )
+    return cooccurrence.cooccurrence_edges(items, "g", "l_partkey")

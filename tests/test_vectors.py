@@ -79,7 +79,7 @@ def test_centres(spark):
 @pytest.mark.parametrize("algorithm", ["kmeans", "gmm", "ward", "bisecting", "birch", "spectral"])
 def test_clusterings_find_the_blobs(spark, algorithm):
     df = blobs(spark)
-    options = {"ward": {"micro": 10}, "birch": {"threshold": 2.0, "cells": 5}, "spectral": {"gamma": 0.05, "neighbours": 40}}
+    options = {"ward": {"micro": 10}, "birch": {"threshold": 2.0, "micro": 5}, "spectral": {"gamma": 0.05, "neighbours": 40}}
     found = k.cluster(df.select("id", "v"), "id", "v", algorithm, 2, **options.get(algorithm, {}))
     both = found.join(df, "id")
     assert both.count() == 50
