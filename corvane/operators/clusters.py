@@ -115,8 +115,12 @@ def birch(
         placed.groupBy("cell").agg(Summarizer.mean(F.col("features")).alias("features"), F.count("*").alias("weight")),
         "means",
     )
-    model = KMeans(k=micro, maxIter=20, seed=seed, weightCol="weight").fit(means)
-    groups = cut(model.transform(means).select("cell", "prediction"), "groups")
+    few = [r.cell for r in means.select("cell").limit(micro + 1).collect()]
+    if len(few) <= micro:
+        groups = df.sparkSession.createDataFrame(list(zip(sorted(few), range(micro))), "cell bigint, prediction int")
+    else:
+        model = KMeans(k=micro, maxIter=20, seed=seed, weightCol="weight").fit(means)
+        groups = cut(model.transform(means).select("cell", "prediction"), "groups")
     grouped = placed.join(groups, "cell").select(key, "features", "prediction")
     return _relabel(grouped, key, "prediction", merge_cells(cell_summaries(grouped, "prediction").collect(), k))
 
