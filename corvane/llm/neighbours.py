@@ -3,10 +3,12 @@
 A vector is represented by its nearest pivots in order.  Every block of vectors posts its members in the inverted
 files of these pivots, with the rank.  A query walks the files of its own nearest pivots and adds up, for
 each member met, how far the two orders agree: the footrule distance of the orders, less a constant.  The best share of
-a block is ranked again by cosine in double precision, and the best of all blocks are the answer.
+a block, with all that tie with the last of them, is ranked again by cosine in double precision, and the best of all
+blocks are the answer.  Equal vectors of a block are one member, which stands for its smallest ids; the sum of a cosine
+does not depend on the place of a row, so that copies in several blocks tie.
 
 Queries and blocks meet as a stated set of queries against all rows, in blocks of bounded size: each task holds one
-block of vectors and one of queries, whatever the data.  Pivots are a sample of ``pivots`` rows chosen by a hash.
+block of vectors and one of queries, whatever the data.  Pivots are different vectors of a sample of rows chosen by a hash.
 
 Defined cases: vectors that are null, zero, or hold a null or non-finite component take no part; neither do pairs of
 different width; rows with the query's own id are not its candidates, and rows that repeat another id are candidates
@@ -52,28 +54,54 @@ def permutations(vectors: np.ndarray, pivots: np.ndarray, prefix: int) -> np.nda
     return np.take_along_axis(some, order, axis=1)
 
 
+def equal_vectors(ids: np.ndarray, vectors: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A row of each distinct vector, offsets, and the ids by offset: enough for the k smallest besides any one id."""
+    rows = np.ascontiguousarray(vectors + 0.0)  # no negative zeros
+    _, first, own = np.unique(rows.view(np.dtype((np.void, rows.itemsize * rows.shape[1]))).ravel(), return_index=True, return_inverse=True)
+
+    def counted(own: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
+        new = np.ones(len(own), dtype=bool)
+        new[1:] = own[1:] != own[:-1]
+        if ids is not None:
+            new[1:] |= ids[1:] != ids[:-1]
+        return np.arange(len(own)) - np.maximum.accumulate(np.where(new, np.arange(len(own)), 0))
+
+    order = np.lexsort((ids, own))
+    own, ids = own[order], ids[order]
+    few = counted(own, ids) < k
+    own, ids = own[few], ids[few]
+    least = counted(own, None) < 2 * k
+    return first, np.searchsorted(own[least], np.arange(len(first) + 1)), ids[least]
+
+
 def search_block(
     ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, pivots: np.ndarray, prefix: int, share: float, k: int
 ) -> list[tuple[int, int, float]]:
     """(query, vector, cosine) of the k nearest candidates that each query finds in a block."""
+    first, begin_class, class_ids = equal_vectors(ids, vectors, k)
+    vectors = vectors[first]
     prefix = min(prefix, len(pivots))
     order = permutations(vectors, pivots, prefix).ravel()
     posted = np.argsort(order, kind="stable")
     begin = np.searchsorted(order[posted], np.arange(len(pivots) + 1))
     member, rank = posted // prefix, posted % prefix
-    most = min(len(ids), max(16 * k, math.ceil(share * len(ids))))
+    most = min(len(vectors), max(16 * k, math.ceil(share * len(ids))))
     norms = np.sqrt((vectors * vectors).sum(axis=1))
     out = []
     for query, vector, own in zip(query_ids, queries, permutations(queries, pivots, prefix), strict=True):
-        agreed = np.zeros(len(ids))
+        agreed = np.zeros(len(vectors))
         for r, pivot in enumerate(own):
             file = slice(begin[pivot], begin[pivot + 1])
             agreed[member[file]] += prefix - np.maximum(rank[file], r)
-        at = np.argpartition(-agreed, most - 1)[:most] if most < len(ids) else np.arange(len(ids))
-        at = at[ids[at] != query]
-        cosine = vectors[at] @ vector / (norms[at] * math.sqrt(vector @ vector))
-        best = np.lexsort((ids[at], -cosine))[:k]
-        out += [(int(query), int(ids[at[i]]), float(cosine[i])) for i in best]
+        at = np.flatnonzero(agreed >= np.partition(agreed, -most)[-most])
+        cosine = (vectors[at] * vector).sum(axis=1) / (norms[at] * math.sqrt((vector * vector).sum()))
+        some = np.argsort(-cosine, kind="stable")
+        # the k+1 best members hold k candidates besides the query's own; more only where others tie with the last
+        some = some[: k + 1] if len(some) <= k + 1 else some[cosine[some] >= cosine[some[k]]]
+        named = [class_ids[begin_class[c] : begin_class[c + 1]] for c in at[some]]
+        near, score = np.concatenate(named), np.repeat(cosine[some], [len(x) for x in named])
+        near, score = near[near != query], score[near != query]
+        out += [(int(query), int(near[i]), float(score[i])) for i in np.lexsort((near, -score))[:k]]
     return out
 
 
@@ -111,8 +139,9 @@ def nearest(
     found = None
     for width, n, n_queries in rows.groupBy("width").agg(F.count(F.lit(1)), F.count_if(is_query)).orderBy("width").collect():
         own = rows.where(F.col("width") == width)
-        chosen = own.orderBy(F.xxhash64("vec_id"), "vec_id").limit(pivots).collect()
-        anchors = _unit(np.array([r.v for r in chosen], dtype=np.float64))
+        chosen = own.orderBy(F.xxhash64("vec_id"), "vec_id").limit(4 * pivots).collect()
+        distinct = list(dict.fromkeys(tuple(r.v) for r in chosen))[:pivots]
+        anchors = _unit(np.array(distinct, dtype=np.float64))
         blocks, teams = math.ceil(n / block), max(1, math.ceil(n_queries / query_block))
 
         dealt = lambda m: F.pmod(F.xxhash64("vec_id"), F.lit(m)).cast("int")

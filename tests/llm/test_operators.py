@@ -251,6 +251,37 @@ def test_neighbours_recall_and_odd_vectors(spark):
     assert neighbours.nearest(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_neighbours_where_a_third_of_the_rows_is_equal(spark):
+    rng = np.random.default_rng(2)
+    data = rng.normal(size=(3000, 16)).round(3)
+    equal = rng.permutation(3000)[:1000]
+    data[equal] = data[equal[0]]
+    data[equal[500:]] *= 2  # other lengths, same direction
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(data)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = defaultdict(set)
+    for r in neighbours.nearest(df, F.col("vec_id") % 25 == 0, block=1000).collect():
+        got[r.query_id].add(r.vec_id)
+    unit = data / np.sqrt((data * data).sum(1))[:, None]
+    hit = dict.fromkeys([False, True], 0)
+    asked = dict.fromkeys([False, True], 0)
+    for q in range(0, 3000, 25):
+        cosine = (unit @ unit[q]).round(12)
+        cosine[q] = -2
+        copy = bool(q in set(equal.tolist()))
+        hit[copy] += len(got[q] & set(np.lexsort((np.arange(3000), -cosine))[:5].tolist()))
+        asked[copy] += 5
+    assert hit[True] == asked[True] > 0
+    assert hit[False] >= 0.9 * asked[False]
+
+
+def test_neighbours_own_id_may_repeat():
+    ids = np.array([0] * 12 + list(range(1, 9)))
+    vectors, pivots = np.tile([1.0, 2.0], (20, 1)), np.eye(2)
+    found = neighbours.search_block(ids, vectors, ids[:1], vectors[:1], pivots, 2, 0.1, 5)
+    assert [(q, v) for q, v, _ in found] == [(0, v) for v in range(1, 6)]
+
+
 def test_language_held_out(spark, none):
     parts = {"aa": ["lor", "men", "ti", "qua"], "bb": ["sch", "ung", "ber", "ein"], "cc": ["ção", "ñor", "dad", "ez"]}
     rng = random.Random(2)
