@@ -3,7 +3,8 @@
 Tokens are words, cut at everything that is not a letter or digit, and their first and last 4 to 7 bytes, so that
 inflected forms share evidence.  Training counts in how many distinct texts of each label a token stands; its
 log-odds have an informative Dirichlet prior whose strength is a share of the training texts, and a token counts
-only if its log-odds are large (``least_odds``) and lie several standard errors above zero.  All other words take the small negative log-odds of
+only if its log-odds are large and lie several standard errors above zero.  Large is a share (``least_share``) of what
+a rare token of toxic texts alone can reach under the prior, which falls as the toxic share of the labels rises.  All other words take the small negative log-odds of
 not being such a token.  A linear scan (Kadane's, repeated in Ruzzo and Tompa's form) finds the maximal segments of
 each text; the score of the best one, less the logarithm of the search space as extreme-value statistics ask, is
 mapped to a probability by a logistic curve fitted on the training rows.
@@ -115,7 +116,7 @@ def count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield counts.rows()
 
 
-def learn(texts: DataFrame, *, prior_share: float = 0.1, errors: float = 3.5, least_odds: float = 2.5, most_tokens: int = 200_000) -> Model | None:
+def learn(texts: DataFrame, *, prior_share: float = 0.1, errors: float = 3.5, least_share: float = 0.64, most_tokens: int = 200_000) -> Model | None:
     """The significant tokens of ``texts`` (columns ``toxic`` and ``text``), the ``most_tokens`` surest if there are more."""
     counts = cut(
         texts.select("toxic", "text").mapInArrow(count_tokens, COUNTS)
@@ -129,11 +130,12 @@ def learn(texts: DataFrame, *, prior_share: float = 0.1, errors: float = 3.5, le
     strength = prior_share * (n1 + n0)
     prior = (F.col("toxic") + F.col("clean")) * prior_share
     odds = lambda y, n: F.log((y + prior) / (n + strength - y - prior))
+    ceiling = math.log(1 + 1 / prior_share) + math.log((n0 + strength) / (n1 + strength))
     judged = counts.where(~F.col("token").isin(DOCUMENTS, WORDS) & (F.col("toxic") * n0 > F.col("clean") * n1)).select(
         "token", "toxic", "clean", (odds(F.col("toxic"), n1) - odds(F.col("clean"), n0)).alias("score"),
         F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior)).alias("error"),
     )
-    sure = judged.where((F.col("score") >= errors * F.col("error")) & (F.col("score") >= least_odds))
+    sure = judged.where((F.col("score") >= errors * F.col("error")) & (F.col("score") >= least_share * ceiling))
     rows = sure.orderBy(F.desc(F.col("score") / F.col("error")), "token").limit(most_tokens).collect()
     rows.sort(key=lambda r: r.token % (1 << 64))
     share1 = min(0.5, sum(r.toxic for r in rows) / max(w1, 1) / (1 + 2 * len(PARTS)))

@@ -160,6 +160,23 @@ def test_toxic_documents_are_found(spark, none):
     assert flat.select("score").distinct().count() == 1
 
 
+@pytest.mark.parametrize("tenths", [1, 5, 7])
+def test_toxic_documents_are_found_at_any_share(spark, tenths):
+    rng = random.Random(6)
+    rows, labels = [], []
+    for i in range(600):
+        w, toxic = plain.prose(2000 + i, 60, 2000).split(), i % 10 < tenths
+        if toxic:
+            for k in range(4):
+                w[20 + 3 * k] = f"nasty{rng.choice('abcdefghij')}x"[rng.choice([0, 5]) :] + rng.choice("abcdefgh") * 9
+        rows.append((i, " ".join(w)))
+        labels.append((i, int(toxic)))
+    labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+    scored = toxicity.toxicity(table(spark, rows), labels, F.col("doc_id") % 7 != 0).where("doc_id % 7 = 0").collect()
+    right = sum((r.score >= 0.5) == (r.doc_id % 10 < tenths) for r in scored)
+    assert right >= 0.95 * len(scored), right
+
+
 def test_maximal_segments():
     assert toxicity.maximal_segments([], [], -1.0) == []
     assert toxicity.maximal_segments([2, 4], [3.0, 3.0], -1.0) == [(2, 5, 5.0)]
