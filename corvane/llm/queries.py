@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corvane.lineage import fresh_path
-from corvane.llm import coder, decontam, forest, language, neighbours, packing, spans, toxicity, urls
+from corvane.llm import coder, decontam, forest, language, neighbours, packing, pieces, spans, toxicity, urls
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -152,3 +152,15 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     found = language.detect(docs, bpe_file(), crc_of_id("doc_id") % 4 != 2)
     held_out = F.coalesce(crc_of_id("doc_id") % 4 == 2, F.lit(False)).alias("held_out")
     return found.select("doc_id", held_out, "lang_pred", "score")
+
+
+def piece_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query("op12_sentencepiece")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """Number and digest of every document's ids, and digest of the text decoded from them."""
+    return pieces.encode_decode(table(spark, folder, "documents"), piece_file(), digests=True)
