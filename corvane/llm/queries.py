@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corvane.lineage import fresh_path
-from corvane.llm import coder, decontam, forest, language, neighbours, packing, pieces, spans, toxicity, urls
+from corvane.llm import coder, collocations, decontam, forest, language, negatives, neighbours, packing, pieces, spans, toxicity, urls
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -164,3 +164,16 @@ def piece_file() -> str:
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     """Number and digest of every document's ids, and digest of the text decoded from them."""
     return pieces.encode_decode(table(spark, folder, "documents"), piece_file(), digests=True)
+
+
+@query("op13_hard_negatives", negatives.SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """Three hard negatives for each of the five positives of every fiftieth vector."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, label=label)
+
+
+@query("op11_collocations", collocations.SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """The first 2000 collocations of every language."""
+    return collocations.collocations(table(spark, folder, "documents"))
