@@ -219,11 +219,11 @@ def with_heads(stream: DataFrame, order: list[Column], one: str, two: str) -> Da
     columns = [c for c in laid.columns if c not in ("k1", "k2", "k3", "slice")]
     # one row a slice: what stands open at its end
     row = F.struct("k1", "k2", "k3", *columns)
-    ends = laid.groupBy("slice").agg(
+    ends = cut(laid.groupBy("slice").agg(
         *(F.max(F.when(F.col("size") == n, F.struct("lang", "k1", "k2", row.alias("row")))).alias(f"open{n}") for n in (1, 2))
-    )
+    ), "ends")
     before = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = ends.select("slice", *(F.last(f"open{n}", ignorenulls=True).over(before).alias(f"open{n}") for n in (1, 2)))
+    starts = cut(ends.select("slice", *(F.last(f"open{n}", ignorenulls=True).over(before).alias(f"open{n}") for n in (1, 2))), "starts")
     copies = None
     for n in (1, 2):
         found = starts.where(f"open{n} IS NOT NULL").select("slice", f"open{n}.row.*").withColumn("is_copy", F.lit(True))
@@ -250,28 +250,26 @@ def collocations(
     pairs = short.where(size == 2)
     bitmap = docs.sparkSession.sparkContext.broadcast(bitmap_of(pairs))
     long = cut(total(texts.mapInArrow(lambda batches: triples(batches, bitmap.value), COUNTS)), "triples")
+    stream = short.where("phrase IS NOT NULL").unionByName(long).select("lang", "phrase", "f", size.alias("size"))
+    words = lambda c: [F.get(c, F.lit(i)) for i in range(3)]
     word = F.split("phrase", " ")
-    stream = short.where("phrase IS NOT NULL").unionByName(long).select(
-        "lang", "phrase", "f", F.size(word).alias("size"), *(F.get(word, F.lit(i)).alias(f"w{i + 1}") for i in range(3))
-    )
-    ahead = with_heads(stream, [F.col("w1"), F.col("w2"), F.col("w3")], "first1", "first2")
-    from_end = [F.get(F.reverse(F.split("phrase", " ")), F.lit(i)) for i in range(3)]
-    both = cut(with_heads(ahead, from_end, "last1", "last2"), "both")
+    ahead = cut(with_heads(stream, words(word), "first1", "first2"), "ahead")
+    both = cut(with_heads(ahead, words(F.reverse(word)), "last1", "last2"), "both")
     inside = lambda longer: F.col("f") * 100 >= F.col(longer) * inside_percent
     triple = both.where("size = 3")
-    covered = triple.where(inside("first2")).select("lang", "w1", "w2").union(triple.where(inside("last2")).select("lang", "w2", "w3")).distinct()
-    kept = triple.unionByName(both.where("size = 2").join(covered.hint("merge"), ["lang", "w1", "w2"], "left_anti").select(*both.columns))
+    part = lambda i: F.array_join(F.slice(word, i, 2), " ").alias("phrase")
+    covered = triple.where(inside("first2")).select("lang", part(1)).union(triple.where(inside("last2")).select("lang", part(2))).distinct()
+    kept = triple.unionByName(both.where("size = 2").join(covered.hint("merge"), ["lang", "phrase"], "left_anti").select(*both.columns))
 
     def at(left: str, right: str, k: int) -> Column:
-        a, l, r = (F.col(c).cast("decimal(18,0)").cast("decimal(38,0)") for c in ("f", left, right))  # noqa: E741
-        score = F.floor((a * a * F.lit(1_000_000) - (a * a * F.lit(1_000_000)) % (l * r)) / (l * r)).cast("long")
+        """The cut after k words; no score is over 10^6, as a is at most l and r."""
+        score = F.expr(f"(1000000BD * CAST(f AS decimal(16,0)) * CAST(f AS decimal(16,0))) div (CAST({left} AS decimal(19,0)) * CAST({right} AS decimal(19,0)))")
         return F.struct(score.alias("score"), F.lit(k).alias("k"), F.col(left).alias("l"), F.col(right).alias("r"))
 
     lowest = F.when(F.col("size") == 2, at("first1", "last1", 1)).otherwise(F.least(at("first1", "last2", 1), at("first2", "last1", 2)))
     n = short.where("phrase IS NULL").select("lang", F.col("f").alias("n"))
-    scored = kept.select("lang", "phrase", F.col("f").alias("a"), lowest.alias("cut")).select(
-        "lang", "phrase", "a", "cut.l", "cut.r", "cut.score"
-    )
+    scored = cut(kept.select("lang", "phrase", F.col("f").alias("a"), lowest.alias("cut")), "scored")
+    scored = scored.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
     if first is not None:
         # a language is ranked in parts before its parts meet, each with no more rows than can still count
         best = [F.desc("score"), F.desc("a"), F.asc("phrase")]
@@ -295,18 +293,20 @@ g AS (
   SELECT lang, 1 AS size, unnest(ws) AS phrase FROM w
   UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) FROM w
   UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) FROM w),
-f AS (SELECT lang, size, phrase, string_split(phrase, ' ') AS x, count(*) AS f FROM g GROUP BY ALL),
-n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang),
-c AS (SELECT lang, size, phrase, x, f, unnest(range(1, size)) AS k FROM f WHERE size > 1 AND f >= 10),
-cuts AS (
+n AS MATERIALIZED (SELECT lang, count(*) AS n FROM g WHERE size = 1 GROUP BY lang),
+k AS MATERIALIZED (SELECT lang, size, phrase, count(*) AS f FROM g GROUP BY lang, size, phrase HAVING count(*) >= 10),
+f AS MATERIALIZED (SELECT *, string_split(phrase, ' ') AS x FROM k),
+c AS (SELECT lang, size, phrase, x, f, unnest(range(1, size)) AS k FROM f WHERE size > 1),
+cuts AS MATERIALIZED (
   SELECT c.lang, c.size, c.phrase, c.x, c.f AS a, c.k, l.f AS l, r.f AS r,
          (1000000::HUGEINT * c.f * c.f) // (l.f::HUGEINT * r.f) AS score
   FROM c JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.x[1:c.k], ' ')
          JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.x[c.k + 1:], ' ')),
-best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
-covered AS (
-  SELECT b.lang, b.phrase FROM best b JOIN f t ON t.lang = b.lang AND t.size = 3 AND 100 * t.f >= 50 * b.a
-   AND (array_to_string(t.x[1:2], ' ') = b.phrase OR array_to_string(t.x[2:3], ' ') = b.phrase) WHERE b.size = 2)
+best AS MATERIALIZED (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+held AS (
+  SELECT lang, f, array_to_string(x[1:2], ' ') AS phrase FROM f WHERE size = 3
+  UNION ALL SELECT lang, f, array_to_string(x[2:3], ' ') FROM f WHERE size = 3),
+covered AS (SELECT DISTINCT b.lang, b.phrase FROM best b JOIN held h ON h.lang = b.lang AND h.phrase = b.phrase AND 100 * h.f >= 50 * b.a)
 SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank, b.phrase, a, l, r, n,
        score::BIGINT AS score
 FROM best b JOIN n USING (lang) ANTI JOIN covered v ON v.lang = b.lang AND v.phrase = b.phrase QUALIFY rank <= 2000
