@@ -91,8 +91,9 @@ class Run:
 
 def word_salts(langs: list[str]) -> np.ndarray:
     """64 bits a language, the same in every task."""
-    data = np.frombuffer("".join(langs).encode("utf-8"), dtype=np.uint8)
-    edges = np.concatenate([[0], np.cumsum([len(x.encode("utf-8")) for x in langs])]).astype(np.int64)
+    marked = [f"#{lang}".encode() for lang in langs]  # an empty one has no bytes of its own
+    data = np.frombuffer(b"".join(marked), dtype=np.uint8)
+    edges = np.concatenate([[0], np.cumsum([len(x) for x in marked])]).astype(np.int64)
     return mix(word_hashes(data, edges[:-1], edges[1:]), 0x3C6EF372)
 
 

@@ -13,7 +13,7 @@ The rows are scored twice, once for the positives and once for the negatives.  A
 Defined cases: rows with a null id, label or vector, or with a null or non-finite component, take no part; of rows
 with the same id the one that sorts first by (vector, label) stands for all; vectors of unequal length are compared
 over the components that both have; numbers too large for exact products in 64 bits are multiplied as Python integers,
-and a score beyond 64 bits (38 digits while they are compared) becomes the nearest such number; anchors without positives, and positives without
+and a score beyond 64 bits (36 digits while they are compared) becomes the nearest such number; anchors without positives, and positives without
 negatives, have no rows; an empty table gives an empty table; other columns play no part.
 """
 
@@ -182,7 +182,7 @@ def mine(
                 part = slice(first, first + 4096)
                 team.meet(ids[part], labels[ours.num_rows :][part], matrix_of(theirs["vector"].slice(first, 4096)))
             anchor, slot, score, vec_id = team.found
-            most = 10**38 - 1
+            most = 10**36 - 1  # a hundred of them still fit into the column
             digits = [Decimal(min(max(int(x), -most), most)) for x in score.tolist()]
             columns = [pa.array(team.ids[anchor], pa.int64()), pa.array(slot, pa.int32()), pa.array(vec_id, pa.int64()), pa.array(digits, DIGITS)]
             return pa.Table.from_arrays(columns, names=["anchor_id", "slot", "vec_id", "score"])
