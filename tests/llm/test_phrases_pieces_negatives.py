@@ -32,7 +32,7 @@ def plain_collocations(rows, least, first):
         for phrase, a in f.items():
             if len(phrase) == 1 or a < least:
                 continue
-            if len(phrase) == 2 and any(len(x) == 3 and phrase in (x[:2], x[1:]) and 2 * c >= a for x, c in f.items()):
+            if len(phrase) == 2 and any(len(x) == 3 and c >= least and phrase in (x[:2], x[1:]) and 2 * c >= a for x, c in f.items()):
                 continue
             cuts = [(10**6 * a * a // (f[phrase[:k]] * f[phrase[k:]]), k) for k in range(1, len(phrase))]
             score, k = min(cuts)
