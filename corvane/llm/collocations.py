@@ -33,7 +33,7 @@ BREAK = np.zeros(256, dtype=bool)
 BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 GAP = BREAK.copy()
 GAP[[0x20, 0x09]] = True
-RUN_WORDS = 2_000_000  # added up before rows leave a task
+RUN_WORDS = 600_000  # added up before rows leave a task
 COUNTS = "lang string, phrase string, f long"
 PAIR_BITS = 1 << 26  # of the bitmap of frequent pairs: 8 MB whatever the data
 SLICE_ROWS = 200_000
