@@ -7,8 +7,9 @@ pairs that form a piece wait in a heap, best score first and leftmost among equa
 still stand is merged, and the pairs that this makes are added.  Symbols that are no piece become their bytes.
 
 Natural text repeats its units, so a worker keeps what it has met, up to ``MOST_CHARS`` characters in each of two
-generations; when the young one is full it becomes the old one, and what was not asked for since is forgotten.  Every
-text of every Arrow batch is also encoded and decoded by the ``sentencepiece`` library, and a difference ends the job.
+generations; when the young one is full it becomes the old one, and what was not asked for since is forgotten.  The
+units of an Arrow batch that a worker has not met are also encoded by the ``sentencepiece`` library, and every text's ids are
+decoded by it; a difference ends the job.
 
 Defined cases: a null text is an empty one and has no ids; rows with the same or a null id are separate rows; a text
 of any length is one text; other columns play no part; an empty table gives an empty table.
@@ -69,7 +70,7 @@ class Vocabulary:
                     pairs[left << 21 | right] = (order[self.library.get_score(i)], i)
         self._pairs = pairs
         self._keys = np.array(sorted(pairs), dtype=np.int64)
-        self._key_ranks = np.array([pairs[k][0] for k in sorted(pairs)], dtype=np.int32)
+        self._key_ranks = np.array([*(pairs[k][0] for k in sorted(pairs)), NONE], dtype=np.int32)
         self._key_pieces = np.array([pairs[k][1] for k in sorted(pairs)], dtype=np.int32)
         value = {i: bytes([b]) for b, i in self.bytes.items()}
         text = lambda i: " ⁇ " if i == self.unknown else names[i].replace(MARK, " ") if plain(i) else ""
@@ -109,44 +110,49 @@ class Vocabulary:
                 ids.append(self.unknown)
         return tuple(ids)
 
-    def _ranked(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The rank of the piece that each pair forms (NONE: no piece), and that piece."""
+    def _places(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Where each pair stands in the table of pairs; its last row is for those that form no piece."""
         keys = left.astype(np.int64) << 21 | right
-        at = np.minimum(np.searchsorted(self._keys, keys), len(self._keys) - 1)
-        return np.where((self._keys[at] == keys) & (right >= 0), self._key_ranks[at], NONE), self._key_pieces[at]
+        at = np.searchsorted(self._keys, keys)
+        at[at == len(self._keys)] = 0
+        return np.where(self._keys[at] == keys, at, len(self._keys))
 
     def _merge_short(self, units: list[str], sizes: np.ndarray) -> list[tuple[int, ...]]:
         """Many units side by side: a row holds the agenda of a unit, one rank a place; every round merges the best
-        pair of each row, the leftmost among equals."""
+        pair of each row, the leftmost among equals.  The places of a row that still stand are linked both ways."""
         if not units:
             return []
         width = int(sizes.max())
-        symbols = np.full((len(units), width + 1), -1, dtype=np.int32)
-        symbols[:, :width][np.arange(width) < sizes[:, None]] = self._symbols[codes("".join(units))]
-        agenda, piece = self._ranked(symbols[:, :-1], symbols[:, 1:])
-        rows, places = np.arange(len(units)), np.arange(width)
-        done = np.full((len(units), width), -1, dtype=np.int32)
-        while len(rows):
-            best = agenda.argmin(axis=1)
-            every = np.arange(len(rows))
-            open_ = agenda[every, best] < NONE
-            if not open_.all():
-                done[rows[~open_]] = symbols[~open_, :-1]
-                rows, symbols, agenda, piece, best = rows[open_], symbols[open_], agenda[open_], piece[open_], best[open_]
-                every = np.arange(len(rows))
-            symbols[every, best] = piece[every, best]
-            # the right one of the pair goes: what stands behind it moves one place to the left
-            moved = np.minimum(places + (places > best[:, None]), width)
-            symbols[:, :-1] = np.take_along_axis(symbols, moved, axis=1)
-            kept = np.minimum(places + (places >= best[:, None]), width - 1)
-            agenda, piece = np.take_along_axis(agenda, kept, axis=1), np.take_along_axis(piece, kept, axis=1)
-            agenda[:, -1] = NONE
-            for at in (best - 1, best):
-                inside = at >= 0
-                line, place = every[inside], at[inside]
-                agenda[line, place], piece[line, place] = self._ranked(symbols[line, place], symbols[line, place + 1])
-        lengths = (done >= 0).sum(axis=1).tolist()
-        return [tuple(row[:n]) for row, n in zip(done.tolist(), lengths, strict=True)]
+        inside = np.arange(width) < sizes[:, None]
+        symbols = np.full((len(units), width), -1, dtype=np.int32)
+        symbols[inside] = self._symbols[codes("".join(units))]
+        after = np.where(np.arange(1, width + 1) < sizes[:, None], np.arange(1, width + 1), -1).astype(np.int16)
+        before = np.broadcast_to(np.arange(-1, width - 1, dtype=np.int16), symbols.shape).copy()
+        agenda = np.full(symbols.shape, NONE, dtype=np.int32)
+        pairs = inside[:, 1:]
+        agenda[:, :-1][pairs] = self._key_ranks[self._places(symbols[:, :-1][pairs], symbols[:, 1:][pairs])]
+        rows = np.arange(len(units))
+        while True:
+            best = agenda[rows].argmin(axis=1)
+            still = agenda[rows, best] < NONE
+            rows, best = rows[still], best[still]
+            if not len(rows):
+                break
+            right = after[rows, best]
+            behind = after[rows, right]
+            symbols[rows, best] = self._key_pieces[self._places(symbols[rows, best], symbols[rows, right])]
+            symbols[rows, right] = -1
+            agenda[rows, right] = agenda[rows, best] = NONE
+            after[rows, best] = behind
+            some = behind >= 0
+            before[rows[some], behind[some]] = best[some]
+            agenda[rows[some], best[some]] = self._key_ranks[self._places(symbols[rows[some], best[some]], symbols[rows[some], behind[some]])]
+            ahead = before[rows, best]
+            some = ahead >= 0
+            agenda[rows[some], ahead[some]] = self._key_ranks[self._places(symbols[rows[some], ahead[some]], symbols[rows[some], best[some]])]
+        stands = symbols >= 0
+        ids, edges = symbols[stands].tolist(), [0, *np.cumsum(stands.sum(axis=1)).tolist()]
+        return [tuple(ids[a:b]) for a, b in zip(edges, edges[1:])]  # noqa: B905
 
     def _merge_long(self, symbols: list[int]) -> list[int]:
         """The agenda as a heap of (rank, left place) in one number; an entry that no longer holds is passed over."""
@@ -183,7 +189,9 @@ class Vocabulary:
         for unit in new.intersection(self._old):
             self._young[unit] = self._old[unit]
         unknown = list(new.difference(self._old))
-        self._young.update(zip(unknown, self.merge(unknown), strict=True))
+        merged = self.merge(unknown)
+        self._check(unknown, merged)
+        self._young.update(zip(unknown, merged, strict=True))
         known = self._young
         self._room -= sum(map(len, new))
         if self._room < 0:
@@ -191,6 +199,17 @@ class Vocabulary:
         for units in texts:
             yield list(chain.from_iterable(map(known.__getitem__, units)))
 
+    def _check(self, units: list[str], merged: list[tuple[int, ...]]) -> None:
+        """Units against the library, which itself puts a mark before a text where the model says so.
+
+        Every unit starts with a mark then, as the first one of a text does.
+        """
+        texts = [unit.removeprefix(MARK) for unit in units] if self.has_prefix else units
+        for text, theirs, ours in zip(texts, self.library.encode(texts, num_threads=1), merged, strict=True):
+            # a text without characters has no ids, though the unit of a mark alone has one
+            if text and tuple(theirs) != ours:
+                raise ValueError("the agenda and the sentencepiece library differ; is the model of the merge type?")
+
     def decode(self, ids: list[int]) -> str:
         try:
             text = b"".join(map(self._spellings.__getitem__, ids)).decode("utf-8")
@@ -242,16 +261,11 @@ def vocabulary(shared: Broadcast) -> Vocabulary:
     return _vocabulary[1]
 
 
-def checked(words: Vocabulary, texts: list[str]) -> Iterator[tuple[list[int], str]]:
-    """(ids, decoded text) of every text by the agenda, once the library has given the same."""
-    theirs = words.library.encode(texts, num_threads=1)
-    theirs_decoded = words.library.decode(theirs, num_threads=1)
-    ours = words.encode(words.library.normalize(texts))
-    for ids, expected, back in zip(ours, theirs, theirs_decoded, strict=True):
-        if ids != expected:
-            raise ValueError("the agenda and the sentencepiece library differ; is the model of the merge type?")
-        text = words.decode(ids)
-        if text != back:
+def coded(words: Vocabulary, texts: list[str]) -> Iterator[tuple[list[int], str]]:
+    """(ids, decoded text) of every text; decoding is the library's, and ours must be the same."""
+    for ids in words.encode(words.library.normalize(texts)):
+        text = words.library.decode(ids)
+        if words.decode(ids) != text:
             raise ValueError("decoding and the sentencepiece library differ")
         yield ids, text
 
@@ -285,7 +299,7 @@ def encode_decode(
         for batch in batches:
             for first, texts in slices(batch.column(1)):
                 counts, ids, decoded = [], [], []
-                for own, text in checked(words, texts):
+                for own, text in coded(words, texts):
                     counts.append(len(own))
                     ids.append(sha(",".join(map(words.decimals.__getitem__, own))) if digests else own)
                     decoded.append(sha(text) if digests else text)
