@@ -3,7 +3,8 @@
 A text is cut into units before every run of ASCII white space that follows a character which is surely not white
 space.  The file's byte-level split never crosses such a place, so the ids of a text are those of its units in
 order.  Natural text repeats its units, so a task encodes what it has not met and gathers the rest with numpy.
-Strings of special tokens in a text are ordinary text.  The tokenizer's text travels as a broadcast: a public
+Strings of special tokens in a text become their ids, as the library's plain call gives them; ``share`` can have them
+spelt out as ordinary text.  The tokenizer's text travels as a broadcast: a public
 file of a few MB, whatever the data.
 """
 
@@ -25,17 +26,19 @@ from corvane.llm.wordhash import SEPARATOR, text_slices, word_hashes
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 JOINED = 64  # units encoded as one string
-MOST_UNITS = 1_500_000  # of the memory of distinct units; it starts anew beyond that
+MOST_UNITS = 250_000  # of the memory of distinct units (about 12 MB); it starts anew beyond that
 UNSURE_ASCII = np.zeros(256, dtype=bool)
 UNSURE_ASCII[[0x20, *range(0x00, 0x20), 0x7F]] = True
 
 
 class Encoder:
-    def __init__(self, text: str) -> None:
+    def __init__(self, text: str, spell_specials: bool = False) -> None:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_str(text)
-        self._tokenizer.encode_special_tokens = True
+        self._tokenizer.encode_special_tokens = spell_specials
+        if not spell_specials and any(SEPARATOR[list(x.content.encode())].any() for x in self._tokenizer.get_added_tokens_decoder().values()):
+            raise ValueError("a special token holds white space; units could cut it")
         size = self._tokenizer.get_vocab_size()
         if size > 1 << 16:
             raise ValueError("ids are kept in 16 bits")
@@ -123,21 +126,23 @@ def unit_starts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 _encoder: tuple[str, Encoder] | None = None
 
 
-def share(spark: SparkSession, path: str) -> Broadcast:
+def share(spark: SparkSession, path: str, spell_specials: bool = False) -> Broadcast:
     """The tokenizer's file for the tasks of one run."""
     with open(path, encoding="utf-8") as f:
-        return spark.sparkContext.broadcast((uuid.uuid4().hex, f.read()))
+        return spark.sparkContext.broadcast((uuid.uuid4().hex, f.read(), spell_specials))
 
 
 def encoder(shared: Broadcast) -> Encoder:
     """This worker's encoder; what it has learnt is kept for the tasks of one run."""
     global _encoder
-    run, text = shared.value
+    run, text, spell_specials = shared.value
     if _encoder is None or _encoder[0] != run:
-        _encoder = (run, Encoder(text))
+        _encoder = None  # the earlier one goes first
+        _encoder = (run, Encoder(text, spell_specials))
     return _encoder[1]
 
 
 def vocabulary_size(path: str) -> int:
     with open(path, encoding="utf-8") as f:
-        return len(json.load(f)["model"]["vocab"])
+        file = json.load(f)
+    return 1 + max([*file["model"]["vocab"].values(), *(x["id"] for x in file.get("added_tokens", []))])

@@ -91,13 +91,12 @@ def tokenizer():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(queries.bpe_file())
-    t.encode_special_tokens = True
     return t
 
 
 @pytest.mark.parametrize(("capacity", "open_windows", "parts"), [(64, 4, 5), (1024, 256, 1), (1, 2, 2)])
 def test_packing(spark, none, tokenizer, capacity, open_windows, parts):
-    rows = [(k, t) for k, t in plain.documents() if capacity > 1 or len(t or "") < 500] + [(99, "a <|endoftext|> b")]
+    rows = [(k, t) for k, t in plain.documents() if capacity > 1 or len(t or "") < 500] + [(99, "a <|endoftext|> b"), (98, "x<|endoftext|>  <|endoftext|>y  <|endoftext|>")]
     pieces = packing.pack(table(spark, rows, parts), queries.bpe_file(), capacity=capacity, open_windows=open_windows, with_ids=True).collect()
     used = check_packing(spark, pieces, rows, capacity, tokenizer)
     total = sum(p.length for p in pieces)
@@ -106,7 +105,7 @@ def test_packing(spark, none, tokenizer, capacity, open_windows, parts):
 
 
 def test_token_files_round_trip(spark, none, tokenizer, tmp_path):
-    rows = [*plain.documents(), (99, "a <|endoftext|> b"), (100, "one"), (None, "no id")]
+    rows = [*plain.documents(), (99, "a <|endoftext|> b<|endoftext|><|endoftext|>  c"), (100, "one"), (None, "no id")]
     coder.write_ids(table(spark, rows), queries.bpe_file(), str(tmp_path / "ids"))
     got = {r.doc_id: r for r in coder.read_ids(spark, str(tmp_path / "ids"), with_ids=True).collect()}
     start = 0
