@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from corvane.lineage import cut
 from corvane.operators.fits import fit_each
+from corvane.operators.hierarchy import ward_labels
+from corvane.operators.kernels import spectral_embedding
 from corvane.operators.neighbours import nearest_neighbours
 
 def with_features(df: DataFrame, vector: str, output: str = "features") -> DataFrame:
@@ -195,6 +197,15 @@ def spectral(
     return found.unionByName(adopted)
 
 
+def spectral_landmarks(
+    df: DataFrame, key: str, vector: str, k: int = 2, gamma: float = 1.0, landmarks: int = 256, restarts: int = 3, seed: int = 1
+) -> DataFrame:
+    """Spectral clustering on the Gaussian affinity of all rows, by landmarks; k-means on the eigenvectors."""
+    embedded = spectral_embedding(df.select(key, vector), vector, k, gamma, landmarks, seed)
+    points = cut(with_features(embedded, "embedded").select(key, "features"), "embedded")
+    return _labels(fit_kmeans(points, k, restarts, seed), points, key)
+
+
 ALGORITHMS = {
     "kmeans": kmeans,
     "gmm": gaussian_mixture,
@@ -202,6 +213,8 @@ ALGORITHMS = {
     "bisecting": bisecting,
     "birch": birch,
     "spectral": spectral,
+    "spectral_landmarks": spectral_landmarks,
+    "ward_tree": ward_labels,
 }
 
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, functions as F
 
 from corvane.functions import text as t
 from corvane.functions.keyed_random import uniform_sql
 from corvane.lineage import cut
-from corvane.operators import classifiers, clusters, communities, experiments, features, neighbours as nn, scores, vectors
+from corvane.operators import classifiers, clusters, communities, experiments, features, kernels, neighbours as nn, scores, vectors
 from corvane.plans.registry import query
 from corvane.plans.tables import binary_embeddings, documents, entity_dictionary, mention_graph, table
 
@@ -210,6 +213,10 @@ query("birch_cf")(_labels("birch", k=2))
 query("spectral_pic")(_labels("spectral", k=2))
 
 
+query("ward_tree")(_labels("ward_tree", k=2))
+query("spectral_landmarks")(_labels("spectral_landmarks", k=2, gamma=1.0, restarts=3))
+
+
 @query("labelings_rand")
 def labelings_rand(spark, folder):
     """All clusterings and the truth compared pairwise by adjusted Rand index."""
@@ -244,6 +251,17 @@ def model_compare(spark, folder):
     return classifiers.compare_models(train, test, estimators)
 
 
+@query("kernel_svm")
+def kernel_svm(spark, folder):
+    """Accuracy of support vector machines with each kernel of the search, on both parts."""
+    parts = [d.withColumn("v", vector_to_array("features")).select("label", "v") for d in _split_features(spark, folder)]
+    rows = parts[0].withColumn("split", F.lit("train")).unionByName(parts[1].withColumn("split", F.lit("test")))
+    found = [kernels.kernel_svm(parts[0], rows, "v", kernel, landmarks=256).select(F.lit(kernel).alias("kernel"), "split", "label", "prediction")
+             for kernel in kernels.KERNELS]
+    right = F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("accuracy")
+    return reduce(DataFrame.unionByName, found).groupBy("kernel", "split").agg(right)
+
+
 @query("grid_search")
 def grid_search(spark, folder):
     train, _ = _split_features(spark, folder)

@@ -86,14 +86,15 @@ def test_clusterings_find_the_blobs(spark, algorithm):
     assert s.adjusted_rand(s.contingency(both, "label", "y")).first().ari == 1.0
 
 
-def test_merging_keeps_every_cell():
+def test_merging_keeps_every_cell(spark):
     class Cell:
         def __init__(self, cell, n, at):
             self.cell, self.n, self.sums, self.squares = cell, n, [n * x for x in at], n * sum(x * x for x in at)
 
     cells = [Cell(0, 5, [0, 0]), Cell(1, 1, [9, 9]), Cell(2, 2, [0, 1]), Cell(3, 3, [9, 8])]
     assert k.merge_cells(cells, 2) == {0: 0, 2: 0, 1: 1, 3: 1}
-    assert k.cell_radius(cells[0]) == 0.0
+    placed = k.with_features(spark.createDataFrame([(0, [0.0, 0.0]), (0, [0.0, 2.0]), (1, [5.0, 5.0])], "cell long, v array<double>"), "v")
+    assert {r.cell: r.radius for r in k.cell_radii(placed).collect()} == {0: 1.0, 1: 0.0}
 
 
 def features(spark):
