@@ -8,8 +8,8 @@ still stand is merged, and the pairs that this makes are added.  Symbols that ar
 
 Natural text repeats its units, so a worker keeps what it has met, up to ``MOST_CHARS`` characters in each of two
 generations; when the young one is full it becomes the old one, and what was not asked for since is forgotten.  The
-units of an Arrow batch that a worker has not met are also encoded by the ``sentencepiece`` library, and every text's ids are
-decoded by it; a difference ends the job.
+units of an Arrow batch that a worker has not met are also encoded and decoded by the ``sentencepiece`` library, and a
+difference ends the job; the ids of whole texts are decoded by the library.
 
 Defined cases: a null text is an empty one and has no ids; rows with the same or a null id are separate rows; a text
 of any length is one text; other columns play no part; an empty table gives an empty table.
@@ -32,9 +32,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 MARK = "▁"  # stands for white space in pieces
 UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-MOST_CHARS = 3_000_000
+MOST_CHARS = 6_000_000
 SHORT = (6, 12, 24, 48)  # symbols of a unit up to which units are merged side by side
 NONE = 1 << 30
+SLOT_BITS = 20  # of the table of pairs: 4 MB
 SLICE_CHARS = 1 << 20  # texts handed to the library at once
 ENCODED = "doc_id long, n_tokens long, ids array<int>, decoded string"
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -69,9 +70,14 @@ class Vocabulary:
                 if left is not None and right is not None:
                     pairs[left << 21 | right] = (order[self.library.get_score(i)], i)
         self._pairs = pairs
-        self._keys = np.array(sorted(pairs), dtype=np.int64)
+        self._keys = np.array([*sorted(pairs), -1], dtype=np.int64)
+        slots = slots_of(self._keys[:-1])
+        self._table = np.full(1 << SLOT_BITS, len(pairs), dtype=np.int32)
+        self._table[slots] = np.arange(len(pairs))
+        lost = np.flatnonzero(self._table[slots] != np.arange(len(pairs)))
+        self._shared, self._shared_at = self._keys[lost], lost.astype(np.int32)
         self._key_ranks = np.array([*(pairs[k][0] for k in sorted(pairs)), NONE], dtype=np.int32)
-        self._key_pieces = np.array([pairs[k][1] for k in sorted(pairs)], dtype=np.int32)
+        self._key_pieces = np.array([*(pairs[k][1] for k in sorted(pairs)), -1], dtype=np.int32)
         value = {i: bytes([b]) for b, i in self.bytes.items()}
         text = lambda i: " ⁇ " if i == self.unknown else names[i].replace(MARK, " ") if plain(i) else ""
         self._spellings = [value.get(i) or text(i).encode("utf-8") for i in range(len(names))]
@@ -113,9 +119,14 @@ class Vocabulary:
     def _places(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Where each pair stands in the table of pairs; its last row is for those that form no piece."""
         keys = left.astype(np.int64) << 21 | right
-        at = np.searchsorted(self._keys, keys)
-        at[at == len(self._keys)] = 0
-        return np.where(self._keys[at] == keys, at, len(self._keys))
+        at = self._table[slots_of(keys)]
+        other = np.flatnonzero(self._keys[at] != keys)
+        at[other] = len(self._keys) - 1
+        if len(self._shared):  # pairs whose slot another pair has
+            near = np.minimum(np.searchsorted(self._shared, keys[other]), len(self._shared) - 1)
+            found = self._shared[near] == keys[other]
+            at[other[found]] = self._shared_at[near[found]]
+        return at
 
     def _merge_short(self, units: list[str], sizes: np.ndarray) -> list[tuple[int, ...]]:
         """Many units side by side: a row holds the agenda of a unit, one rank a place; every round merges the best
@@ -209,6 +220,9 @@ class Vocabulary:
             # a text without characters has no ids, though the unit of a mark alone has one
             if text and tuple(theirs) != ours:
                 raise ValueError("the agenda and the sentencepiece library differ; is the model of the merge type?")
+        together = list(chain.from_iterable(merged))
+        if self.decode(together) != self.library.decode(together):
+            raise ValueError("decoding and the sentencepiece library differ")
 
     def decode(self, ids: list[int]) -> str:
         try:
@@ -219,6 +233,10 @@ class Vocabulary:
         return text[1:] if self.has_prefix and ids and self._starts_with_space[ids[0]] else text
 
 
+def slots_of(keys: np.ndarray) -> np.ndarray:
+    return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)
+
+
 def codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
 
@@ -262,12 +280,9 @@ def vocabulary(shared: Broadcast) -> Vocabulary:
 
 
 def coded(words: Vocabulary, texts: list[str]) -> Iterator[tuple[list[int], str]]:
-    """(ids, decoded text) of every text; decoding is the library's, and ours must be the same."""
+    """(ids, decoded text) of every text; whole texts are decoded by the library."""
     for ids in words.encode(words.library.normalize(texts)):
-        text = words.library.decode(ids)
-        if words.decode(ids) != text:
-            raise ValueError("decoding and the sentencepiece library differ")
-        yield ids, text
+        yield ids, words.library.decode(ids)
 
 
 def slices(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
