@@ -7,8 +7,9 @@ common prefixes: where a region is dense these are deeper ones.  Estimates above
 threshold become candidates, and candidates become links only on the full sets of both texts.
 
 In a dense region each class proposes its ``best`` candidates of each order.  Once these are confirmed and joined into
-components, the orders of such regions are run again for pairs across components, until no link is added, so
-the proposals left out the first time lose nothing.
+components, the orders of such regions are run once more for all pairs across components, so the proposals left out
+the first time lose nothing.  Sets that share a long passage but are no near duplicates crowd there too, so this pass
+compares signatures of 384 hashes, whose mark lies more than twice as near to the threshold, and moves texts for fewer pairs.
 
 Orders are range-partitioned by their full keys, so a region with a third of all rows is spread over tasks, and the
 ends of neighbouring partitions are compared in a second step.
@@ -32,10 +33,11 @@ from corvane.llm.components import across, extend, follow
 from corvane.llm.wordhash import LOWER, mix, text_slices, windows, word_bounds, word_hashes
 
 HASHES = 64
+LONG_HASHES = 384  # of the sets in dense regions
 TREES = 16
 ARITY = 4  # hashes a tree moves on from its predecessor
 DEPTH = 8
-SEEDS = mix(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+SEEDS = mix(np.arange(1, LONG_HASHES + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
 FACTORS = mix(SEEDS, 0x165667B1) | np.uint64(1)
 SIGNED = "doc_id long, n_shingles long, low long, high long, keys binary, signature binary"
 KEY = f"substring(keys, {2 * ARITY} * tree + 1, {2 * DEPTH})"
@@ -66,20 +68,39 @@ def shingle_sets(column: pa.Array, words: int) -> Iterator[tuple[int, int, np.nd
         yield first, last, value, np.searchsorted(row, np.arange(last - first + 1))
 
 
+def least_hashes(value: np.ndarray, at: np.ndarray, hashes: int) -> np.ndarray:
+    """The 16-bit minimum hashes of each set of ``value`` that starts at ``at``."""
+    least = np.zeros((len(at), hashes), dtype=np.uint64)
+    if len(at):
+        for k in range(hashes):
+            least[:, k] = np.minimum.reduceat((value ^ SEEDS[k]) * FACTORS[k], at)
+    return (mix(least) >> np.uint64(48)).astype(">u2")
+
+
+def sign_long(batch: pa.RecordBatch, words: int) -> pa.RecordBatch:
+    """(cls, signature) of ``LONG_HASHES`` hashes for texts (cls, text) with words."""
+    signatures = []
+    for _, _, value, offsets in shingle_sets(batch.column(1), words):
+        signatures += [x.tobytes() for x in (least_hashes(value, offsets[:-1], LONG_HASHES) & 255).astype(np.uint8)]
+    return pa.RecordBatch.from_arrays([batch.column(0), pa.array(signatures, pa.binary())], names=["cls", "signature"])
+
+
+def mark(hashes: int, similar: float) -> int:
+    """The equal hashes that a pair at the threshold falls short of with a probability of 3e-6."""
+    return int(hashes * (similar - 4.5 * (similar * (1 - similar) / hashes) ** 0.5))
+
+
 def sign(batch: pa.RecordBatch, words: int) -> pa.RecordBatch:
     sizes, low, high, keys, signatures = [], [], [], [], []
     for _, _, value, offsets in shingle_sets(batch.column(1), words):
         n = np.diff(offsets)
         full = n > 0
         at = offsets[:-1][full]
-        least = np.zeros((int(full.sum()), HASHES), dtype=np.uint64)
         totals = np.zeros((2, len(n)), dtype=np.uint64)
         if len(at):
-            for k in range(HASHES):
-                least[:, k] = np.minimum.reduceat((value ^ SEEDS[k]) * FACTORS[k], at)
             for k in range(2):
                 totals[k, full] = np.add.reduceat(mix(value, 0x9E37 + k), at)
-        short = (mix(least) >> np.uint64(48)).astype(">u2")
+        short = least_hashes(value, at, HASHES)
         wide = np.concatenate([short, short[:, : DEPTH * 2]], axis=1)
         sizes.append(n)
         low.append(totals[0].view(np.int64))
@@ -106,7 +127,7 @@ class Order:
         number = lambda c: np.asarray(table[c])
         self.tree, self.keys = number("tree"), fixed("key", 2 * DEPTH)
         self.cls, self.size, self.component = number("cls"), number("n_shingles"), number("component")
-        self.signature = fixed("signature", HASHES)
+        self.signature = fixed("signature", len(table["signature"][0].as_py()) if n else HASHES)
 
     def pairs(self, *, reach: int, best: int, low: int, ratio: float, by_component: bool, old: int = 0):
         """Candidates (later row, earlier row, equal hashes, whether its row has more), for later rows from ``old`` on."""
@@ -259,14 +280,15 @@ def near_duplicates(
         "classes",
     )
     similar = percent / 100
-    low = int(HASHES * (similar - 4.5 * (similar * (1 - similar) / HASHES) ** 0.5))
-    how = {"reach": reach, "best": best, "low": low, "ratio": similar, "by_component": False}
+    how = {"reach": reach, "best": best, "low": mark(HASHES, similar), "ratio": similar, "by_component": False}
     proposed = cut(propose(classes, classes.count(), how), "proposed")
     pairs = cut(proposed.groupBy("a", "b").agg(F.max("alike").alias("alike")), "pairs")
 
-    def texts_for(pairs: DataFrame) -> DataFrame:
-        ends = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
-        needed = cut(classes.join(ends, "cls", "left_semi").select("cls", F.col("rep").alias("doc_id")), "needed")
+    def ends_of(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
+
+    def texts_for(wanted: DataFrame) -> DataFrame:
+        needed = cut(classes.join(wanted, "cls", "left_semi").select("cls", F.col("rep").alias("doc_id")), "needed")
         ids = needed.select("doc_id")
         side = F.broadcast(ids) if needed.count() <= most_broadcast else ids
         chosen = texts.join(side, "doc_id", "left_semi").select("doc_id", "text")
@@ -280,7 +302,7 @@ def near_duplicates(
     same_id = real.groupBy("doc_id").agg(F.min("low").alias("a"), F.max("low").alias("b")).where("a <> b").select("a", "doc_id")
     repeated = same_id.join(real, "doc_id").select("a", F.col("low").alias("b"))
 
-    found = texts_for(pairs)
+    found = texts_for(ends_of(pairs))
     first = pairs.groupBy("b").agg(F.max_by("a", F.struct("alike", "a")).alias("a")).select("a", "b")
     labels = follow(confirm(first, found, words, percent))
     links = confirm(cut(across(pairs, labels).select("a", "b"), "open"), found, words, percent)
@@ -290,16 +312,18 @@ def near_duplicates(
     if not regions.isEmpty():
         member = classes.select("cls", "keys", every_tree().alias("tree")).select("cls", "tree", F.expr(f"substring({KEY}, 1, 4)").alias("region"))
         dense = member.join(regions, ["tree", "region"], "left_semi").select("cls").distinct()
+        dense_texts = texts_for(dense)
+        longer = dense_texts.mapInArrow(lambda batches: (sign_long(b, words) for b in batches), "cls long, signature binary")
         rows = cut(
-            classes.drop("component").join(dense, "cls", "left_semi")
+            classes.drop("component", "signature").join(longer, "cls")
             .join(labels.select(F.col("node").alias("cls"), "component"), "cls", "left")
             .withColumn("component", F.coalesce("component", "cls")),
             "dense",
         )
-        again = propose(rows, rows.count(), how | {"best": reach, "by_component": True})
+        again = propose(rows, rows.count(), how | {"best": reach, "low": mark(LONG_HASHES, similar), "by_component": True})
         more = cut(again.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti"), "more")
         if not more.isEmpty():
-            labels = extend(labels, confirm(more, texts_for(more), words, percent))
+            labels = extend(labels, confirm(more, dense_texts, words, percent))
 
     joined = labels.select(F.col("node").alias("cls"), "component")
     root = classes.select("cls", "rep").join(joined, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
@@ -324,6 +348,6 @@ def sign_low(column: pa.Array, words: int) -> pa.Array:
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", most_broadcast: int = 500_000, **options) -> DataFrame:
     """The rows of ``docs`` that are the first of their component, unchanged."""
     found = near_duplicates(docs, id_col=id_col, most_broadcast=most_broadcast, **options)
-    gone = cut(found.where("not kept").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
+    gone = cut(found.where("not kept").select("doc_id").distinct(), "gone")
     side = F.broadcast(gone) if gone.count() <= most_broadcast else gone
-    return docs.join(side, F.col(id_col) == F.col("__gone"), "left_anti")
+    return docs.join(side, docs[id_col] == gone["doc_id"], "left_anti")
