@@ -2,7 +2,8 @@
 
 Words are lower-cased (A to Z) runs between white space.  A document holds an item if some window of as many words
 as the item has is similar enough: the weighted Jaccard similarity of their five-word shingles, each weighted by how
-often it stands there.  An item of fewer words than a shingle is one shingle.
+often it stands there.  An item of fewer words than a shingle is one shingle.  A document of fewer words than an item
+is one window as a whole.
 
 1. Positions whose shingle stands in some item are found by a join of hashes.  A window that is similar enough
    holds at least a known number of such positions, and moving its start to the next one, or to the last possible
@@ -13,7 +14,7 @@ often it stands there.  An item of fewer words than a shingle is one shingle.
 3. Exact similarity of the shingle counts decides.
 
 Defined cases: a null or empty text holds nothing; a null or empty item is ignored, and items that repeat an id are
-judged one by one and reported once, by the best; a document shorter than an item cannot hold it; documents that repeat an
+judged one by one and reported once, by the best; a document without a whole shingle holds nothing; documents that repeat an
 id are judged one by one and reported once, by the best window; rows without an id are judged too; other columns
 play no part; empty tables give an empty table.
 """
@@ -104,7 +105,8 @@ def contaminated(
 
 
 def _contaminated(texts: DataFrame, items: DataFrame, k: int, percent: int, small) -> DataFrame:
-    # windows and items have n - k + 1 shingles each: shared >= percent / (100 + percent) of both together
+    # an item has w = n - k + 1 shingles and a window m, as many or all of a shorter document:
+    # shared >= percent / (100 + percent) of both together
     total = F.col("n") - (k - 1)
     one = items.select("item", "n", "words").distinct()
     of_item = cut(
@@ -115,26 +117,26 @@ def _contaminated(texts: DataFrame, items: DataFrame, k: int, percent: int, smal
     shingled = texts.select("doc_id", "key", shingles_of(words_of(F.col("text")), k).alias("hashes"))
     places = shingled.select("key", F.size("hashes").alias("last"), F.posexplode("hashes").alias("pos", "h"))
     hits = places.join(small(of_item.select("h").distinct()), "h", "left_semi").distinct()
-    need = F.ceil(2 * F.col("w") * percent / F.lit(100 + percent))
+    need = F.ceil((F.col("w") + F.col("m")) * percent / F.lit(100 + percent))
     dense = (
-        cut(hits, "hits").join(small(of_item.select("h", "item", "n", "w")), "h").where("last >= w")
-        .groupBy("key", "item", "n", "w", "last").agg(F.collect_list("pos").alias("at"))
+        cut(hits, "hits").join(small(of_item.select("h", "item", "n", "w")), "h").withColumn("m", F.least("w", "last"))
+        .groupBy("key", "item", "n", "w", "m", "last").agg(F.collect_list("pos").alias("at"))
         .where(F.size("at") >= need)
     )
     starts = cut(
-        dense.select("key", "n", "w", F.explode(F.array_distinct(F.expr("transform(at, p -> least(p, last - w))"))).alias("start")).distinct(),
+        dense.select("key", "n", "w", "m", F.explode(F.array_distinct(F.expr("transform(at, p -> least(p, last - m))"))).alias("start")).distinct(),
         "starts",
     )
     chosen = cut(shingled.join(small(starts.select("key").distinct()), "key", "left_semi").dropDuplicates(["doc_id", "key"]), "chosen")
     windows = cut(
         starts.join(chosen, "key")
-        .select("doc_id", "n", "w", "start", F.expr("slice(hashes, start + 1, w)").alias("hashes"))
+        .select("doc_id", "n", "w", "m", "start", F.expr("slice(hashes, start + 1, m)").alias("hashes"))
         .withColumn("window", F.xxhash64("hashes")),
         "windows",
     )
-    shapes = windows.groupBy("n", "w", "window").agg(F.first("hashes").alias("hashes"))
-    exploded = cut(shapes.select("n", "w", "window", F.explode("hashes").alias("h")), "shapes")
-    marks = _fingerprint(exploded, ["n", "window"], "h", "w")
+    shapes = windows.groupBy("n", "w", "m", "window").agg(F.first("hashes").alias("hashes"))
+    exploded = cut(shapes.select("n", "w", "m", "window", F.explode("hashes").alias("h")), "shapes")
+    marks = _fingerprint(exploded, ["n", "window"], "h", "m")
     item_marks = _fingerprint(
         of_item.select("item", "n", "w", F.explode(F.array_repeat("h", F.col("times").cast("int"))).alias("h")), ["item", "n"], "h", "w"
     )
@@ -147,13 +149,14 @@ def _contaminated(texts: DataFrame, items: DataFrame, k: int, percent: int, smal
     )
     near = F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("mark"))) <= RADIUS
     candidates = left.join(right, ["n", "j", "value"]).where(near).select("n", "window", "item").distinct()
-    counted = exploded.groupBy("n", "w", "window", "h").agg(F.count(F.lit(1)).alias("here"))
+    union = F.col("w") + F.col("m") - F.col("shared")
+    counted = exploded.groupBy("n", "w", "m", "window", "h").agg(F.count(F.lit(1)).alias("here"))
     shared = (
         counted.join(of_item.select("item", "n", "h", "times"), ["n", "h"]).join(candidates, ["n", "window", "item"], "left_semi")
-        .groupBy("n", "w", "window", "item").agg(F.sum(F.least("here", "times")).alias("shared"))
-        .where(F.col("shared") * 100 >= percent * (2 * F.col("w") - F.col("shared")))
+        .groupBy("n", "w", "m", "window", "item").agg(F.sum(F.least("here", "times")).alias("shared"))
+        .where(F.col("shared") * 100 >= percent * union)
     )
-    similar = shared.select("n", "window", "item", (F.col("shared") / (2 * F.col("w") - F.col("shared"))).alias("similarity"))
+    similar = shared.select("n", "window", "item", (F.col("shared") / union).alias("similarity"))
     named = similar.join(items.select("item", "item_id"), "item")
     return windows.select("doc_id", "n", "window", "start").join(named, ["n", "window"]).select(
         "doc_id", "item_id", "similarity", F.col("start").cast("long").alias("start")
@@ -163,9 +166,9 @@ def _contaminated(texts: DataFrame, items: DataFrame, k: int, percent: int, smal
 def keep_uncontaminated(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", most_broadcast: int = 500_000, **options) -> DataFrame:
     """The rows of ``docs`` that hold no item, unchanged; ids that repeat go together, rows without an id stay."""
     found = contaminated(docs, items, id_col=id_col, most_broadcast=most_broadcast, **options)
-    gone = cut(found.select(F.col("doc_id").alias("__gone")).where("__gone is not null").distinct(), "gone")
+    gone = cut(found.select("doc_id").where("doc_id is not null").distinct(), "gone")
     side = F.broadcast(gone) if gone.count() <= most_broadcast else gone
-    return docs.join(side, F.col(id_col) == F.col("__gone"), "left_anti")
+    return docs.join(side, docs[id_col] == gone["doc_id"], "left_anti")
 
 
 SQL = """
@@ -174,19 +177,19 @@ WITH dw AS (
          '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL),
 iw AS (
   SELECT item_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-         '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM benchmark WHERE text IS NOT NULL),
-ds AS (SELECT doc_id, p - 1 AS p, len(w) - 4 AS last, array_to_string(w[p:p + 4], ' ') AS s
-       FROM dw, range(1, len(w) - 3) t(p)),
-its AS (SELECT item_id, len(w) - 4 AS n, array_to_string(w[p:p + 4], ' ') AS s, count(*) AS times
-        FROM iw, range(1, len(w) - 3) t(p) GROUP BY ALL),
-hits AS (SELECT DISTINCT doc_id, item_id, n, last, p FROM ds JOIN its USING (s) WHERE last >= n),
-starts AS (SELECT DISTINCT doc_id, item_id, n, b AS start
-           FROM hits, range(greatest(p - n + 1, 0), least(p, last - n) + 1) t(b)),
+         '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w, least(len(w), 5) AS k FROM benchmark WHERE text IS NOT NULL),
+ds AS (SELECT doc_id, k, p - 1 AS p, len(w) - k + 1 AS last, array_to_string(w[p:p + k - 1], ' ') AS s
+       FROM dw, (SELECT DISTINCT k FROM iw WHERE k > 0) ks, range(1, len(w) - k + 2) t(p)),
+its AS (SELECT item_id, k, len(w) - k + 1 AS n, array_to_string(w[p:p + k - 1], ' ') AS s, count(*) AS times
+        FROM iw, range(1, len(w) - k + 2) t(p) WHERE k > 0 GROUP BY ALL),
+hits AS (SELECT DISTINCT doc_id, item_id, k, n, least(n, last) AS m, last, p FROM ds JOIN its USING (k, s)),
+starts AS (SELECT DISTINCT doc_id, item_id, k, n, m, b AS start
+           FROM hits, range(greatest(p - n + 1, 0), least(p, last - m) + 1) t(b)),
 shared AS (
-  SELECT doc_id, item_id, n, start, sum(least(here, times)) AS c
-  FROM (SELECT doc_id, item_id, n, start, s, count(*) AS here
-        FROM starts JOIN ds USING (doc_id) WHERE ds.p BETWEEN start AND start + n - 1 GROUP BY ALL) x
-  JOIN its USING (item_id, n, s) GROUP BY ALL)
-SELECT doc_id, item_id, max(c / (2 * n - c)) AS similarity FROM shared
-WHERE c * 100 >= 75 * (2 * n - c) GROUP BY ALL
+  SELECT doc_id, item_id, n, m, start, sum(least(here, times)) AS c
+  FROM (SELECT doc_id, item_id, k, n, m, start, s, count(*) AS here
+        FROM starts JOIN ds USING (doc_id, k) WHERE ds.p BETWEEN start AND start + m - 1 GROUP BY ALL) x
+  JOIN its USING (item_id, k, n, s) GROUP BY ALL)
+SELECT doc_id, item_id, max(c / (n + m - c)) AS similarity FROM shared
+WHERE c * 100 >= 75 * (n + m - c) GROUP BY ALL
 """
