@@ -23,7 +23,7 @@ from corvane.operators.fits import fit_each
 from corvane.operators.neighbours import (
     centre_distances,
     centroids,
-    nearest_centre,
+    nearest_of,
     nearest_to_centres,
 )
 
@@ -69,12 +69,15 @@ def majority_experiment(
     labels = cut(_cluster_runs(table, key, vector, algorithm, runs, k, seed, **options), "clusters")
     members = table.join(labels, ["run", key])
     centres = cut(centroids(members, "cluster", vector, by=["run"]), "centres")
-    near = _distances_in_run(table, vector, centres)
-    voters = nearest_to_centres(near.filter("split = 'train'"), key, votes, by=["run"])
+    placed = _with_centres_of_run(table, centres)
+    near = placed.filter("split = 'train'").withColumn("__c", F.explode("__centres")).select(
+        *table.columns, F.col("__c.id").alias("centre_id"), distance(F.col(vector), F.col("__c.at")).alias("dist")
+    )
+    voters = nearest_to_centres(near, key, votes, by=["run"])
     names = scores.majority_label(voters, ["run", "centre_id"], truth)
     train = labels.select("run", key, F.col("cluster").alias("centre_id")).withColumn("split", F.lit("train"))
-    test = nearest_centre(near.filter("split = 'test'"), key, by=["run"]).select("run", key, "centre_id").withColumn(
-        "split", F.lit("test")
+    test = placed.filter("split = 'test'").select(
+        "run", key, nearest_of(F.col(vector), F.col("__centres"))["centre_id"].alias("centre_id"), F.lit("test").alias("split")
     )
     scored = (
         train.unionByName(test)
@@ -84,16 +87,12 @@ def majority_experiment(
     return _mean_by_split(scored, truth, "majority", ["run"])
 
 
-def _distances_in_run(table: DataFrame, vector: str, centres: DataFrame) -> DataFrame:
-    """Distances to the centres of the same run: a few centres per run, joined by run."""
+def _with_centres_of_run(table: DataFrame, centres: DataFrame) -> DataFrame:
+    """Every row with the centres of its run, a few, as one array."""
     mine = centres.groupBy("run").agg(
         F.collect_list(F.struct(F.col("cluster").alias("id"), F.col("centre").alias("at"))).alias("__centres")
     )
-    return (
-        table.join(mine, "run")
-        .withColumn("__c", F.explode("__centres"))
-        .select(*table.columns, F.col("__c.id").alias("centre_id"), distance(F.col(vector), F.col("__c.at")).alias("dist"))
-    )
+    return table.join(mine, "run")
 
 
 def _mean_by_split(scored: DataFrame, truth: str, predicted: str, repeat: Sequence[str]) -> DataFrame:

@@ -15,7 +15,9 @@ from corvane.functions.keyed_random import uniform
 from corvane.lineage import GrowingTable, cut
 from corvane.operators.features import sample_rows
 from corvane.operators.graph_stats import degrees, symmetric
-from corvane.operators.ranking import hash_rank
+from corvane.operators.ranking import hash_rank, top_rows
+
+FEW = 10_000  # rows that one task may merge
 
 
 def seed_count(share: float, population: int) -> int:
@@ -88,23 +90,48 @@ def random_seeds(nodes: DataFrame, n: int, seed: int) -> DataFrame:
 
 
 def top_degree_seeds(nodes: DataFrame, edges: DataFrame, n: int) -> DataFrame:
-    return degrees(nodes, edges).orderBy(F.col("degree").desc(), "id").limit(n)
+    """The n nodes of highest degree, ties by id; an n that grows with the graph is cut off without a single task."""
+    found = degrees(nodes, edges)
+    if n <= FEW:
+        return found.orderBy(F.col("degree").desc(), "id").limit(n)
+    return top_rows(cut(found, "degrees"), "degree", "id", n)
+
 
+def greedy_frontier_seeds(nodes: DataFrame, edges: DataFrame, n: int, batch: int = 1000) -> DataFrame:
+    """Start at the highest degree, then add the highest-degree neighbour of the chosen set.
 
-def greedy_frontier_seeds(nodes: DataFrame, edges: DataFrame, n: int) -> DataFrame:
-    """Start at the highest degree, then add the highest-degree neighbour of the chosen set."""
+    The boundary is a table that grows by the unseen neighbours of the last picks. A round takes the best ``batch``
+    nodes of the boundary in order, up to the first that an unseen neighbour of those before it would overtake, so
+    a round makes one pick only where each pick opens a better one. ``batch`` bounds a round and changes no result.
+    """
     ranked = cut(degrees(nodes, edges), "degrees")
-    both = cut(symmetric(edges.select("src", "dst")), "edges")
+    ends = ranked.withColumnRenamed("id", "dst")
+    reach = cut(symmetric(edges.select("src", "dst")).join(ends, "dst").select("src", "dst", "degree"), "edges")
     best_first = [F.col("degree").desc(), F.col("id")]
+    standing = lambda key: F.struct((-F.col("degree")).alias("d"), F.col(key).alias("id"))
+    seen = GrowingTable(nodes.sparkSession, "seen", ranked.schema)
     chosen = GrowingTable(nodes.sparkSession, "chosen", ranked.withColumn("rank", F.lit(1)).schema)
-    chosen.append(ranked.orderBy(*best_first).limit(1).withColumn("rank", F.lit(1)))
-    for rank in range(2, n + 1):
-        have = chosen.read().select("id")
-        reach = both.join(have.withColumnRenamed("id", "src"), "src", "left_semi").select(F.col("dst").alias("id"))
-        open_nodes = ranked.join(reach, "id", "left_semi").join(have, "id", "left_anti")
-        added = chosen.append(open_nodes.orderBy(*best_first).limit(1).withColumn("rank", F.lit(rank)))
-        if added.isEmpty():
-            break
+    picked = chosen.append(ranked.orderBy(*best_first).limit(1).withColumn("rank", F.lit(1)))
+    seen.append(picked.select("id", "degree"))
+    done = added = picked.count()
+    # at most batch rows meet in each of these windows
+    in_order, before = Window.orderBy(*best_first), Window.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    while added and done < n:
+        last = picked.select(F.col("id").alias("src"))
+        fresh = reach.join(last, "src", "left_semi").select(F.col("dst").alias("id"), "degree").distinct()
+        seen.append(fresh.join(seen.read(), "id", "left_anti"))
+        known = seen.read().select("id")
+        front = seen.read().join(chosen.read().select("id"), "id", "left_anti").orderBy(*best_first).limit(min(batch, n - done))
+        front = cut(front.withColumn("place", F.row_number().over(in_order)), "front")
+        beyond = reach.join(front.select(F.col("id").alias("src"), "place"), "src").join(
+            known.withColumnRenamed("id", "dst"), "dst", "left_anti"
+        )
+        opened = beyond.groupBy("place").agg(F.min(standing("dst")).alias("opened"))
+        judged = front.join(opened, "place", "left").withColumn("rival", F.min("opened").over(before))
+        sure = judged.filter(F.col("rival").isNull() | (standing("id") < F.col("rival")))
+        picked = chosen.append(sure.select("id", "degree", (F.col("place") + done).alias("rank")))
+        added = picked.count()
+        done += added
     return chosen.read().select("rank", "id", "degree")
 
 

@@ -14,13 +14,13 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from corvane.functions.keyed_random import uniform
 from corvane.functions.vectors import distance
 from corvane.lineage import cut
 
-MAX_CENTRES = 10_000
+CENTRE_BLOCK = 2_000
 FEWEST, MOST, PER_PIVOT = 16, 512, 20_000
 
 
@@ -36,17 +36,42 @@ def centroids(df: DataFrame, label: str, vector: str, by: Sequence[str] = ()) ->
 def centre_distances(points: DataFrame, vector: str, centres: DataFrame, label: str) -> DataFrame:
     """Every point with its distance to every centre ``centres(label, centre)``.
 
-    The centres travel as one array value; there are as many as clusters, which is checked.
+    The result has a row for each pair by its nature. Centres travel as arrays of about ``CENTRE_BLOCK``.
     """
-    found = centres.select(label).limit(MAX_CENTRES + 1).count()
-    if found > MAX_CENTRES:
-        raise ValueError(f"more than {MAX_CENTRES} centres: use nearest_neighbours")
-    listed = centres.agg(F.collect_list(F.struct(F.col(label).alias("id"), F.col("centre").alias("at")))).scalar()
-    return points.withColumn("__c", F.explode(listed)).select(
+    return _with_blocks(points, centres, label).withColumn("__c", F.explode("__centres")).select(
         *points.columns, F.col("__c.id").alias("centre_id"), distance(F.col(vector), F.col("__c.at")).alias("dist")
     )
 
 
+def _with_blocks(points: DataFrame, centres: DataFrame, label: str) -> DataFrame:
+    """Every point with ``__centres``, an array of (id, at): all of them where they fit a block, else a row for each block."""
+    one = F.struct(F.col(label).alias("id"), F.col("centre").alias("at"))
+    blocks = -(-centres.count() // CENTRE_BLOCK)
+    if blocks <= 1:
+        return points.withColumn("__centres", centres.agg(F.collect_list(one)).scalar())
+    dealt = centres.groupBy(F.pmod(F.xxhash64(label), F.lit(blocks)).alias("__block")).agg(F.collect_list(one).alias("__centres"))
+    numbered = points.withColumn("__block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
+    return numbered.join(cut(dealt, "centres"), "__block").drop("__block")
+
+
+def nearest_of(vector: Column, centres: Column) -> Column:
+    """(dist, centre_id) of the nearest of an array of centres (id, at); ties go to the lowest id."""
+    return F.array_min(F.transform(centres, lambda c: F.struct(distance(vector, c["at"]).alias("dist"), c["id"].alias("centre_id"))))
+
+
+def assign_centre(points: DataFrame, key: str, vector: str, centres: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame:
+    """(by, key, centre_id, dist): the centre nearest to every point; ties go to the lowest centre.
+
+    The choice is made inside each row, so points are not shuffled; only beyond ``CENTRE_BLOCK`` centres do the best
+    of the blocks meet, one row a point and block.
+    """
+    blocked = _with_blocks(points, centres, label)
+    best = blocked.select(*by, key, nearest_of(F.col(vector), F.col("__centres")).alias("best"))
+    if centres.count() > CENTRE_BLOCK:
+        best = best.groupBy(*by, key).agg(F.min("best").alias("best"))
+    return best.select(*by, key, F.col("best.centre_id").alias("centre_id"), F.col("best.dist").alias("dist"))
+
+
 def nearest_to_centres(distances: DataFrame, key: str, k: int, by: Sequence[str] = ()) -> DataFrame:
     """The k points nearest to every centre; Spark cuts to k per task before the shuffle."""
     order = Window.partitionBy(*by, "centre_id").orderBy("dist", key)

@@ -32,6 +32,20 @@ def running_totals(df: DataFrame, order: Sequence[Column], values: Sequence[str]
     )
 
 
+def top_rows(df: DataFrame, value: str, key: str, n: int) -> DataFrame:
+    """The n rows of highest ``value``, ties by lowest ``key``, whatever share of the table n is.
+
+    Distinct values are counted and their running totals tell where the cut falls. Rows above it are kept as they
+    are; only the rows at the cut are ranked by key.
+    """
+    counts = df.groupBy(F.col(value).alias("__v")).agg(F.count("*").alias("__n"))
+    upto = running_totals(counts, [F.col("__v").desc()], ["__n"]).where(F.col("__n_total") - F.col("__n") < n)
+    kept = cut(upto.select("__v", (F.lit(n) - F.col("__n_total") + F.col("__n")).alias("__left"), (F.col("__n_total") > n).alias("__at")), "cuts")
+    placed = df.join(kept, F.col(value) == F.col("__v"))
+    tied = running_totals(placed.where("__at").withColumn("__one", F.lit(1)), [F.col(key)], ["__one"]).where("__one_total <= __left")
+    return placed.where("not __at").select(*df.columns).unionByName(tied.select(*df.columns))
+
+
 def hash_rank(
     df: DataFrame,
     keys: Sequence[str],

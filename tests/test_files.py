@@ -28,6 +28,19 @@ def test_csv_with_quotes_and_index(spark, tmp_path):
     assert [r.body for r in files.head(back, "_c0", n=1).collect()] == ['say "hi", twice']
 
 
+def test_csv_files_with_columns_in_another_order(spark, tmp_path):
+    folder = tmp_path / "mixed order"
+    folder.mkdir()
+    write(folder, "a.csv", "id,dob,zip\n1,1991,x\n")
+    write(folder, "b.csv", 'zip,id,dob\n"y, z",2,1992\n')
+    wanted = "id int, zip string"
+    schema = spark.createDataFrame([], wanted).schema
+    got = files.read_csv(spark, str(folder), schema, mixed=True)
+    assert sorted(map(tuple, got.collect())) == [(1, "x"), (2, "y, z")]
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_csv(spark, str(folder), schema).collect()
+
+
 class Settings:
     """A session that only knows what the folder lookup asks for."""
 

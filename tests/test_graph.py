@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from corvane.operators import communities, cooccurrence as co, graph_stats as g, influence as inf, shells
+from corvane.operators import communities, cooccurrence as co, graph_stats as g, influence as inf, ranking, shells
 
 
 def edges_of(spark, pairs):
@@ -191,3 +191,35 @@ def test_cover_beats_the_top_degree_bound(spark):
     chosen = inf.max_influence(nodes, edges, 3, 0.2, 300, 4)
     covered = lambda s: sets.join(s.select("id"), "id", "left_semi").select("run").distinct().count()
     assert covered(chosen) >= 0.63 * covered(inf.top_degree_seeds(nodes, edges, 3))
+
+
+def plain_frontier(pairs, n):
+    near = {}
+    for a, b in pairs:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    best = lambda ids: min(ids, key=lambda i: (-len(near[i]), i))
+    chosen = [best(near)]
+    while len(chosen) < n:
+        open_nodes = set().union(*(near[i] for i in chosen)) - set(chosen)
+        if not open_nodes:
+            break
+        chosen.append(best(open_nodes))
+    return chosen
+
+
+@pytest.mark.parametrize("batch", [1, 3, 1000])
+def test_frontier_takes_many_picks_a_round(spark, batch):
+    rng = random.Random(7)
+    pairs = sorted({tuple(sorted(rng.sample(range(60), 2))) for _ in range(110)})
+    edges = spark.createDataFrame(pairs, "src long, dst long").withColumn("weight", F.lit(1))
+    nodes = spark.range(60)
+    got = [r.id for r in inf.greedy_frontier_seeds(nodes, edges, 25, batch=batch).orderBy("rank").collect()]
+    assert got == plain_frontier(pairs, 25)
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 40, 41, 100])
+def test_top_rows_with_ties(spark, n):
+    rows = [(i, (i * 7) % 5) for i in range(41)]
+    got = ranking.top_rows(spark.createDataFrame(rows, "id long, degree long"), "degree", "id", n)
+    assert sorted(r.id for r in got.collect()) == sorted(i for i, _ in sorted(rows, key=lambda r: (-r[1], r[0]))[:n])

@@ -76,6 +76,18 @@ def test_centres(spark):
     assert [(r.width, r.n) for r in n.vector_widths(df, "v").collect()] == [(2, 3)]
 
 
+@pytest.mark.parametrize("block", [1, 2, 2000])
+def test_centres_in_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(n, "CENTRE_BLOCK", block)
+    df = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(12)], "id int, v array<double>")
+    centres = spark.createDataFrame([(c, [at, 1.0]) for c, at in enumerate([1.0, 3.0, 7.0, 7.0, 20.0])], "y int, centre array<double>")
+    far = n.centre_distances(df, "v", centres, "y")
+    assert far.count() == 60 and far.agg(F.sum("dist")).first()[0] == sum(abs(i - at) for i in range(12) for at in (1, 3, 7, 7, 20))
+    best = {r.id: (r.centre_id, r.dist) for r in n.assign_centre(df, "id", "v", centres, "y").collect()}
+    assert best == {r.id: (r.centre_id, r.dist) for r in n.nearest_centre(far, "id").collect()}
+    assert best[2] == (0, 1.0) and best[5] == (1, 2.0) and best[8] == (2, 1.0)
+
+
 @pytest.mark.parametrize("algorithm", ["kmeans", "gmm", "ward", "bisecting", "birch", "spectral"])
 def test_clusterings_find_the_blobs(spark, algorithm):
     df = blobs(spark)
