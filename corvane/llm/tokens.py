@@ -26,7 +26,7 @@ from corvane.llm.wordhash import SEPARATOR, text_slices, word_hashes
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 JOINED = 64  # units encoded as one string
-MOST_UNITS = 250_000  # of the memory of distinct units (about 12 MB); it starts anew beyond that
+MOST_UNITS = 500_000  # of the memory of distinct units (about 14 MB); beyond that only the half met most often stays
 UNSURE_ASCII = np.zeros(256, dtype=bool)
 UNSURE_ASCII[[0x20, *range(0x00, 0x20), 0x7F]] = True
 
@@ -47,11 +47,25 @@ class Encoder:
 
     def _forget(self) -> None:
         self._keys = np.zeros(0, dtype=np.uint64)  # sorted hashes of known units
-        self._slots = np.zeros(0, dtype=np.int64)
-        self._first = np.zeros(0, dtype=np.int64)
-        self._length = np.zeros(0, dtype=np.int64)
+        self._slots = np.zeros(0, dtype=np.int32)
+        self._first = np.zeros(0, dtype=np.int32)
+        self._length = np.zeros(0, dtype=np.int32)
+        self._met = np.zeros(0, dtype=np.int32)  # slices that held the unit, halved at every clearing
         self._ids = np.zeros(0, dtype=np.uint16)
 
+    def _keep_frequent(self) -> None:
+        """Forget the units met least often, at least half of them."""
+        held = np.argsort(-self._met, kind="stable")[: MOST_UNITS // 2]
+        held = np.sort(held[self._met[held] > 1])
+        stays = np.zeros(len(self._met), dtype=bool)
+        stays[held] = True
+        lengths = self._length[held]
+        ends = np.cumsum(lengths)
+        self._ids = self._ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self._first[held] - (ends - lengths), lengths)]
+        self._first, self._length, self._met = (ends - lengths).astype(np.int32), lengths, self._met[held] // 2
+        known = stays[self._slots]
+        self._keys, self._slots = self._keys[known], (np.cumsum(stays, dtype=np.int32) - 1)[self._slots[known]]
+
     def encode(self, column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """(first row, row after the last, ids, row offsets into them); a null text has no ids."""
         for first, last, data, offsets in text_slices(column, 1 << 20):
@@ -66,9 +80,9 @@ class Encoder:
     def _slots_of(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         codes, distinct = pd.factorize(word_hashes(data, starts, ends))
         if not len(distinct):
-            return np.zeros(0, dtype=np.int64)
+            return np.zeros(0, dtype=np.int32)
         if len(self._keys) + len(distinct) > MOST_UNITS:
-            self._forget()
+            self._keep_frequent()
         place = np.minimum(np.searchsorted(self._keys, distinct), max(len(self._keys) - 1, 0))
         known = self._keys[place] == distinct if len(self._keys) else np.zeros(len(distinct), dtype=bool)
         if not known.all():
@@ -77,7 +91,9 @@ class Encoder:
             at[codes[::-1]] = np.arange(len(codes))[::-1]  # where each distinct unit stands first
             self._learn(data, starts[at[new]], ends[at[new]], distinct[new])
             place = np.searchsorted(self._keys, distinct)
-        return self._slots[place][codes]
+        slots = self._slots[place]
+        self._met[slots] += 1
+        return slots[codes]
 
     def _learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> None:
         regular = SEPARATOR[data[starts]] & sure_before(data, ends)
@@ -92,13 +108,14 @@ class Encoder:
         # a unit's ids end where the bytes of the ids do
         spelt = np.concatenate([[0], np.cumsum(self._bytes[ids])])
         edges = np.searchsorted(spelt, np.concatenate([[0], np.cumsum(ends - starts)]))
-        slots = np.arange(len(hashes)) + len(self._first)
-        self._first = np.concatenate([self._first, edges[:-1] + len(self._ids)])
-        self._length = np.concatenate([self._length, np.diff(edges)])
+        slots = np.arange(len(hashes), dtype=np.int32) + np.int32(len(self._first))
+        self._first = np.concatenate([self._first, (edges[:-1] + len(self._ids)).astype(np.int32)])
+        self._length = np.concatenate([self._length, np.diff(edges).astype(np.int32)])
+        self._met = np.concatenate([self._met, np.zeros(len(hashes), dtype=np.int32)])
         self._ids = np.concatenate([self._ids, ids])
-        keys = np.concatenate([self._keys, hashes])
-        order = np.argsort(keys, kind="stable")
-        self._keys, self._slots = keys[order], np.concatenate([self._slots, slots])[order]
+        order = np.argsort(hashes)
+        at = np.searchsorted(self._keys, hashes[order])
+        self._keys, self._slots = np.insert(self._keys, at, hashes[order]), np.insert(self._slots, at, slots[order])
 
 
 def sure_before(data: np.ndarray, at: np.ndarray) -> np.ndarray:
