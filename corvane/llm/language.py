@@ -4,10 +4,11 @@ The pieces are those of a fixed public vocabulary, in lower case, with every sin
 Each language has a probability for each piece, learnt by expectation-maximisation: the forward and backward
 sums over all segmentations of a word give how often each piece is expected in it.  A text's score under a language is
 the sum over its words of the logarithm of the forward sum.  Words are cut at everything that is not a letter or
-digit; one longer than 256 bytes is scored in runs of 256.  Distinct words are scored once in a run.
+digit and scored whole, whatever their length: the sums of a long word are scaled anew every 32 bytes.  Pieces of every
+length take part.  Distinct words are scored once in a run.
 
-The model is fitted on a sample of at most about ``sample`` texts of each language, drawn by a hash of the id; all
-else covers all rows.
+The model is fitted on a sample of at most about ``sample`` texts of each language, drawn by a hash of the id; there
+alone, words are cut before the character that would pass ``FIT_RUN`` bytes.  All else covers all rows.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0, and so is every text when no language
 could be learnt; a row without an id is predicted but never learnt from; ties go to the first language in
@@ -28,7 +29,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from corvane.llm.wordhash import LOWER, letter_runs, text_slices, word_bounds, word_hashes
 
 SEPARATOR = letter_runs()
-LONGEST_PIECE, LONGEST_RUN = 8, 256
+SHORT_PIECE, FIT_RUN = 8, 256  # pieces up to the first lie in one table, the few longer ones in a list
+SCALED_EVERY = 32
 UNIT = 12.0  # a factor for each byte that keeps forward sums near one
 AT_ONCE, MOST_WORDS = 40_000, 1_000_000
 
@@ -44,7 +46,7 @@ def pieces_of(tokenizer: str) -> list[bytes]:
     for piece in vocabulary:
         if all(c in byte for c in piece):
             raw = bytes(LOWER[b] for b in (byte[c] for c in piece)).lstrip(b" ")
-            if 1 < len(raw) <= LONGEST_PIECE and not any(SEPARATOR[b] for b in raw):
+            if len(raw) > 1 and not any(SEPARATOR[b] for b in raw):
                 pieces.add(raw)
     return sorted(pieces)
 
@@ -57,22 +59,30 @@ class Vocabulary:
         order = np.argsort(hashes)
         self.size, self._hashes, self._ids = len(pieces), hashes[order], order
         self.lengths = np.array([len(p) for p in pieces])
+        self._long = [int(n) for n in np.unique(self.lengths) if n > SHORT_PIECE]
         self._maybe = np.zeros(1 << 16, dtype=bool)
         self._maybe[(self._hashes >> np.uint64(48)).astype(np.int64)] = True
 
-    def ids(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """The piece of each length at each byte (row length - 1), or ``size`` where there is none."""
-        found = np.full((LONGEST_PIECE, len(data)), self.size, dtype=np.int64)
+    def ids(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The short piece of each length at each byte (row length - 1), or ``size`` where there is none; bytes at
+        which longer pieces start, and these pieces."""
+        found = np.full((SHORT_PIECE, len(data)), self.size, dtype=np.int64)
         left = np.repeat(ends, ends - starts) - np.arange(len(data))
-        for n in range(1, LONGEST_PIECE + 1):
-            at = np.flatnonzero(left >= n)
-            hashes = word_hashes(data, at, at + n)
+        places, longer = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+        room = np.arange(len(data))
+        for n in [*range(1, SHORT_PIECE + 1), *self._long]:
+            room = room[left[room] >= n]
+            hashes = word_hashes(data, room, room + n)
             some = self._maybe[(hashes >> np.uint64(48)).astype(np.int64)]
-            at, hashes = at[some], hashes[some]
+            at, hashes = room[some], hashes[some]
             place = np.minimum(np.searchsorted(self._hashes, hashes), self.size - 1)
             hit = self._hashes[place] == hashes
-            found[n - 1, at[hit]] = self._ids[place[hit]]
-        return found
+            if n <= SHORT_PIECE:
+                found[n - 1, at[hit]] = self._ids[place[hit]]
+            else:
+                places.append(at[hit])
+                longer.append(self._ids[place[hit]])
+        return found, np.concatenate(places), np.concatenate(longer)
 
 
 class Words:
@@ -85,18 +95,42 @@ class Words:
         self.ends = np.cumsum(self.sizes)
         self.starts = self.ends - self.sizes
         index = np.arange(self.sizes.sum()) + np.repeat(starts[self.order] - self.starts, self.sizes)
-        self.pieces = vocabulary.ids(data[index], self.starts, self.ends)
+        self.pieces, at, ids = vocabulary.ids(data[index], self.starts, self.ends)
         self.first = self.starts + np.arange(len(sizes))  # of the places between bytes, one more than bytes
+        word = np.searchsorted(self.ends, at, side="right")
+        length = vocabulary.lengths[ids]
+        self.reach = max(SHORT_PIECE, int(length.max(initial=0)))
+        steps = np.arange(int(self.sizes[0]) + 2 if len(sizes) else 1)
+        begin = at - self.starts[word]
+
+        def sorted_by(key: np.ndarray) -> tuple[np.ndarray, ...]:
+            order = np.argsort(key, kind="stable")
+            return *(x[order] for x in (word, self.first[word] + begin, length, ids)), np.searchsorted(key[order], steps)
+
+        self.by_end, self.by_start = sorted_by(begin + length), sorted_by(begin)
+
+    def forward(self, p: np.ndarray, logs: np.ndarray | None = None) -> np.ndarray:
+        """Sums over all segmentations up to each place; p has a row per piece, one of zeros at the end.
 
-    def forward(self, p: np.ndarray) -> np.ndarray:
-        """Sums over all segmentations up to each place; p has a row per piece, one of zeros at the end."""
+        With ``logs`` (a row per word, longest first) long words are scaled on the way and it takes the logarithms.
+        """
         sums = np.zeros((len(self.pieces[0]) + len(self.sizes), p.shape[1]))
         sums[self.first] = 1
+        _, places, lengths, ids, bounds = self.by_end
         for j in range(1, int(self.sizes[0]) + 1 if len(self.sizes) else 1):
             n = int(np.searchsorted(-self.sizes, -j, side="right"))
             at, byte = self.first[:n], self.starts[:n]
-            for size in range(1, min(j, LONGEST_PIECE) + 1):
+            for size in range(1, min(j, SHORT_PIECE) + 1):
                 sums[at + j] += sums[at + j - size] * p[self.pieces[size - 1, byte + j - size]]
+            some = slice(bounds[j], bounds[j + 1])
+            if some.start < some.stop:
+                np.add.at(sums, places[some] + lengths[some], sums[places[some]] * p[ids[some]])
+            if logs is not None and j % SCALED_EVERY == 0:
+                rows = self.first[: int(np.searchsorted(-self.sizes, -(j + 1), side="right"))] + j
+                factor = np.maximum(sums[rows], 1e-300)
+                logs[: len(rows)] += np.log(factor)
+                for back in range(min(self.reach, j) + 1 if len(rows) else 0):
+                    sums[rows - back] = np.minimum(sums[rows - back] / factor, 1e250)
         return sums
 
     def expected(self, p: np.ndarray, times: np.ndarray) -> np.ndarray:
@@ -106,10 +140,11 @@ class Words:
         back[self.first + self.sizes] = 1
         counts = np.zeros(len(p))
         whole = times[self.order] / np.maximum(sums[self.first + self.sizes], 1e-300)
+        words, places, lengths, longer, bounds = self.by_start
         for j in range(int(self.sizes[0]) - 1 if len(self.sizes) else -1, -1, -1):
             n = int(np.searchsorted(-self.sizes, -(j + 1), side="right"))
             at, byte = self.first[:n], self.starts[:n]
-            for size in range(1, LONGEST_PIECE + 1):
+            for size in range(1, SHORT_PIECE + 1):
                 m = int(np.searchsorted(-self.sizes[:n], -(j + size), side="right"))
                 if not m:
                     break
@@ -117,26 +152,32 @@ class Words:
                 part = p[ids, 0] * back[at[:m] + j + size]
                 back[at[:m] + j] += part
                 counts += np.bincount(ids, weights=part * sums[at[:m] + j] * whole[:m], minlength=len(counts))
+            some = slice(bounds[j], bounds[j + 1])
+            if some.start < some.stop:
+                part = p[longer[some], 0] * back[places[some] + lengths[some]]
+                np.add.at(back, places[some], part)
+                np.add.at(counts, longer[some], part * sums[places[some]] * whole[words[some]])
         return counts
 
     def scores(self, p: np.ndarray) -> np.ndarray:
         """Logarithm of the forward sum of each word, in the order given."""
         out = np.empty((len(self.sizes), p.shape[1]))
-        sums = self.forward(p)[self.first + self.sizes]
-        out[self.order] = np.log(np.maximum(sums, 1e-300)) - (self.sizes * np.log(UNIT))[:, None]
+        logs = np.zeros_like(out)
+        sums = self.forward(p, logs)[self.first + self.sizes]
+        out[self.order] = logs + np.log(np.maximum(sums, 1e-300)) - (self.sizes * np.log(UNIT))[:, None]
         return out
 
 
-def runs_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words, long ones in runs, and the number of the first run of each row."""
-    starts, ends, first = word_bounds(data, offsets, SEPARATOR)
-    if len(starts) and (ends - starts).max() > LONGEST_RUN:
-        parts = -(-(ends - starts) // LONGEST_RUN)
-        nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-        first = np.append(0, np.cumsum(parts))[first]
-        starts = np.repeat(starts, parts) + nth * LONGEST_RUN
-        ends = np.minimum(starts + LONGEST_RUN, np.repeat(ends, parts))
-    return starts, ends, first
+def fit_runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words, long ones in runs of whole characters."""
+    starts, ends, _ = word_bounds(data, offsets, SEPARATOR)
+    cuts = []
+    for start, end in zip(*(x[ends - starts > FIT_RUN].tolist() for x in (starts, ends)), strict=True):
+        while end - start > FIT_RUN:
+            start += FIT_RUN
+            start -= next((k for k in range(4) if data[start - k] & 0xC0 != 0x80), 0)
+            cuts.append(start)
+    return np.sort(np.append(starts, cuts)).astype(starts.dtype), np.sort(np.append(ends, cuts)).astype(ends.dtype)
 
 
 def fit_language(texts: pa.ChunkedArray, vocabulary: Vocabulary, rounds: int, prior: float) -> np.ndarray:
@@ -144,7 +185,7 @@ def fit_language(texts: pa.ChunkedArray, vocabulary: Vocabulary, rounds: int, pr
     kept: dict[int, list] = {}
     for _, _, data, offsets in text_slices(texts, 1 << 20):
         data = LOWER[data]
-        starts, ends, _ = runs_of(data, offsets)
+        starts, ends = fit_runs(data, offsets)
         codes, distinct = pd.factorize(word_hashes(data, starts, ends))
         at = np.full(len(distinct), -1)
         at[codes[::-1]] = np.arange(len(codes))[::-1]
@@ -185,7 +226,7 @@ class Scorer:
         out = [np.zeros((0, self._p.shape[1]))]
         for _, _, data, offsets in text_slices(column, 1 << 20):
             data = LOWER[data]
-            starts, ends, first = runs_of(data, offsets)
+            starts, ends, first = word_bounds(data, offsets, SEPARATOR)
             scores = self._of(data, starts, ends)
             total = np.concatenate([np.zeros((1, self._p.shape[1])), np.cumsum(scores, axis=0, dtype=np.float64)])
             out.append(total[first[1:]] - total[first[:-1]])

@@ -343,6 +343,41 @@ def test_forward_sums_over_all_segmentations():
     assert np.allclose(got, [np.log(total(data[a:b].tobytes())) for a, b in zip(starts, ends, strict=True)])
 
 
+def test_long_pieces_and_long_words():
+    """Pieces over eight bytes, and words far past a scaling step, against sums of exact logarithms; expected counts too."""
+    pieces = sorted({bytes([b]) for b in range(256)} | {b"ab", b"international", b"nternationaliz", b"ized", "中文".encode() * 4})
+    logs = np.log(np.random.default_rng(3).dirichlet(np.full(len(pieces), 0.3), 3).T + 1e-9)
+    words = [b"internationalized", b"a", "中文".encode() * 300, b"xinternational" * 90, b"ab" * 16, b"q" * 64, b"international"]
+    ends = np.cumsum([len(w) for w in words])
+    vocabulary = language.Vocabulary(pieces)
+    scaled = np.vstack([np.exp(logs) * language.UNIT ** vocabulary.lengths[:, None], np.zeros((1, 3))])
+    lattice = language.Words(np.frombuffer(b"".join(words), np.uint8), ends - [len(w) for w in words], ends, vocabulary)
+    number = {piece: i for i, piece in enumerate(pieces)}
+    for word, got in zip(words, lattice.scores(scaled), strict=True):
+        total = [np.zeros(3)]
+        for end in range(1, len(word) + 1):
+            ways = [total[end - n] + logs[number[word[end - n : end]]] for n in {*map(len, pieces)} if n <= end and word[end - n : end] in number]
+            total.append(np.logaddexp.reduce(ways, axis=0))
+        assert np.allclose(got, total[-1], rtol=1e-9)
+    short = [b"internationalized", b"international", b"ab"]
+    ends = np.cumsum([len(w) for w in short])
+    lattice = language.Words(np.frombuffer(b"".join(short), np.uint8), ends - [len(w) for w in short], ends, vocabulary)
+    counts = lattice.expected(scaled[:, :1], np.array([2.0, 1.0, 5.0]))
+    assert counts[:-1] @ vocabulary.lengths == pytest.approx(2 * 17 + 13 + 10)
+    ways = np.exp(logs[:, 0])
+    whole = ways[number[b"international"]]
+    assert counts[number[b"international"]] > 0
+    singles = np.prod([ways[number[bytes([b])]] for b in b"international"])
+    only = language.Words(np.frombuffer(b"international", np.uint8), np.array([0]), np.array([13]), vocabulary)
+    assert only.expected(scaled[:, :1], np.array([1.0]))[number[b"international"]] == pytest.approx(whole / (whole + singles))
+
+
+def test_fit_cuts_between_characters():
+    data = np.frombuffer("中".encode() * 200 + b" ab", np.uint8)
+    starts, ends = language.fit_runs(data, np.array([0, len(data)]))
+    assert [bytes(data[a:b]).decode() for a, b in zip(starts, ends, strict=True)] == ["中" * 85, "中" * 85, "中" * 30, "ab"]
+
+
 FOLDER = "/root/testdata/sf0.001"
 
 
