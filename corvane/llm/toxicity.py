@@ -4,8 +4,8 @@ Tokens are words, cut at everything that is not a letter or digit, and their fir
 inflected forms share evidence.  Training counts in how many distinct texts of each label a token stands; its
 log-odds have an informative Dirichlet prior whose strength is a share of the training texts, and a token counts
 only if its log-odds are large and lie several standard errors above zero.  Large is a share (``least_share``) of what
-a rare token of toxic texts alone can reach under the prior, which falls as the toxic share of the labels rises.  All other words take the small negative log-odds of
-not being such a token.  A linear scan (Kadane's, repeated in Ruzzo and Tompa's form) finds the maximal segments of
+a rare token of toxic texts alone can reach under the prior, which falls as the toxic share of the labels rises.
+All other words take the small negative log-odds of not being such a token.  A linear scan (Kadane's, repeated in Ruzzo and Tompa's form) finds the maximal segments of
 each text; the score of the best one, less the logarithm of the search space as extreme-value statistics ask, is
 mapped to a probability by a logistic curve fitted on the training rows.
 
@@ -116,8 +116,8 @@ def count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield counts.rows()
 
 
-def learn(texts: DataFrame, *, prior_share: float = 0.1, errors: float = 3.5, least_share: float = 0.64, most_tokens: int = 200_000) -> Model | None:
-    """The significant tokens of ``texts`` (columns ``toxic`` and ``text``), the ``most_tokens`` surest if there are more."""
+def learn(texts: DataFrame, *, prior_share: float = 0.1, errors: float = 3.5, least_share: float = 0.64) -> Model | None:
+    """All significant tokens of ``texts`` (columns ``toxic`` and ``text``), as many as the sample of labelled rows can hold."""
     counts = cut(
         texts.select("toxic", "text").mapInArrow(count_tokens, COUNTS)
         .groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")),
@@ -136,13 +136,14 @@ def learn(texts: DataFrame, *, prior_share: float = 0.1, errors: float = 3.5, le
         F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior)).alias("error"),
     )
     sure = judged.where((F.col("score") >= errors * F.col("error")) & (F.col("score") >= least_share * ceiling))
-    rows = sure.orderBy(F.desc(F.col("score") / F.col("error")), "token").limit(most_tokens).collect()
-    rows.sort(key=lambda r: r.token % (1 << 64))
-    share1 = min(0.5, sum(r.toxic for r in rows) / max(w1, 1) / (1 + 2 * len(PARTS)))
-    share0 = min(share1, sum(r.clean for r in rows) / max(w0, 1) / (1 + 2 * len(PARTS)))
+    rows = sure.select("token", "toxic", "clean", "score").toArrow()
+    token, toxic, clean, score = (rows[c].to_numpy() for c in rows.column_names)
+    order = np.argsort(token.view(np.uint64))
+    share1 = min(0.5, int(toxic.sum()) / max(w1, 1) / (1 + 2 * len(PARTS)))
+    share0 = min(share1, int(clean.sum()) / max(w0, 1) / (1 + 2 * len(PARTS)))
     return Model(
-        np.array([r.token for r in rows], dtype=np.int64).view(np.uint64),
-        np.array([r.score for r in rows]),
+        token.view(np.uint64)[order],
+        score[order],
         min(-0.01, math.log((1 - share1) / (1 - share0))),
     )
 
@@ -217,17 +218,24 @@ def fit_curve(x: np.ndarray, toxic: np.ndarray, clean: np.ndarray, ridge: float
     return float(w[0]), float(w[1])
 
 
-def find(docs: DataFrame, text_col: str, keep: list[str], model: Model, search_share: float) -> DataFrame:
-    """The columns ``keep`` of each row and, as a struct ``__found``, what its text shows."""
+def free_name(name: str, taken: list[str]) -> str:
+    """``name``, with as many underscores behind it as make it differ from all columns ``taken``."""
+    while name.lower() in {x.lower() for x in taken}:
+        name += "_"
+    return name
+
+
+def find(docs: DataFrame, text_col: str, keep: list[str], model: Model, search_share: float, found_col: str = "__found") -> DataFrame:
+    """The columns ``keep`` of each row and, as a struct ``found_col``, what its text shows."""
     score = scorer(model, search_share)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = score(batch.column(0))
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], found], names=[*keep, "__found"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], found], names=[*keep, found_col])
 
-    rows = docs.select(F.col(f"`{text_col}`").alias("__text"), *[F.col(f"`{c}`") for c in keep])
-    schema = StructType([docs.schema[c] for c in keep]).add("__found", StructType.fromDDL(FOUND))
+    rows = docs.select(F.col(f"`{text_col}`").alias(free_name("__text", keep)), *[F.col(f"`{c}`") for c in keep])
+    schema = StructType([docs.schema[c] for c in keep]).add(found_col, StructType.fromDDL(FOUND))
     return rows.mapInArrow(run, schema)
 
 
@@ -240,10 +248,13 @@ def fit(
     text_col: str = "text",
     search_share: float = 0.01,
     most_broadcast: int = 1_000_000,
+    most_labels: int = 1_000_000,
 ) -> tuple[Model, tuple[float, float]]:
     """The tokens and the curve from the labelled rows that ``learn_from``, a condition on ``doc_id``, admits.
 
-    The labels are broadcast up to ``most_broadcast`` rows and joined by a shuffle beyond; the result is the same.
+    Beyond ``most_labels`` labelled ids the model is fitted on a sample of about that many, drawn by a hash of the id, which
+    bounds all that is collected.  The labels are broadcast up to ``most_broadcast`` rows and joined by a shuffle beyond;
+    the result is the same.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     known = cut(
@@ -252,7 +263,11 @@ def fit(
         .where(learn_from),
         "labels",
     )
-    side = F.broadcast(known) if known.count() <= most_broadcast else known
+    n = known.count()
+    if n > most_labels:
+        draw = F.pmod(F.xxhash64("doc_id", F.lit("labelled")), F.lit(1 << 30))
+        known, n = known.where(draw < F.lit(int(most_labels / n * (1 << 30)))), most_labels
+    side = F.broadcast(known) if n <= most_broadcast else known
     train = cut(
         texts.join(side, "doc_id").groupBy(F.xxhash64("text").alias("h"), "toxic").agg(F.first("text").alias("text")),
         "labelled",
@@ -270,8 +285,8 @@ def fit(
     return model, fit_curve(*(np.array([float(r[i]) for r in bins]) for i in range(3)))
 
 
-def score_of(curve: tuple[float, float]) -> Column:
-    value = F.lit(curve[0]) + F.lit(curve[1]) * F.least("__found.evidence", F.lit(100.0))
+def score_of(curve: tuple[float, float], found_col: str) -> Column:
+    value = F.lit(curve[0]) + F.lit(curve[1]) * F.least(f"{found_col}.evidence", F.lit(100.0))
     return 1 / (1 + F.exp(-value))
 
 
@@ -281,8 +296,9 @@ def toxicity(
     """Every row of ``docs`` without its text, with its ``score``, the significant ``passages`` and ``n_words``."""
     model, curve = fit(docs, labels, learn_from, text_col=text_col, search_share=search_share, **options)
     keep = [c for c in docs.columns if c not in (text_col, "score", "passages", "n_words")]
-    found = find(docs, text_col, keep, model, search_share)
-    return found.select(*[f"`{c}`" for c in keep], score_of(curve).alias("score"), "__found.passages", "__found.n_words")
+    column = free_name("__found", keep)
+    found = find(docs, text_col, keep, model, search_share, column)
+    return found.select(*[f"`{c}`" for c in keep], score_of(curve, column).alias("score"), f"{column}.passages", f"{column}.n_words")
 
 
 def keep_clean(
@@ -291,5 +307,6 @@ def keep_clean(
 ) -> DataFrame:
     """The rows of ``docs`` whose text scores below ``least``, unchanged."""
     model, curve = fit(docs, labels, learn_from, text_col=text_col, search_share=search_share, **options)
-    found = find(docs, text_col, docs.columns, model, search_share)
-    return found.where(score_of(curve) < least).select(*[f"`{c}`" for c in docs.columns])
+    column = free_name("__found", docs.columns)
+    found = find(docs, text_col, docs.columns, model, search_share, column)
+    return found.where(score_of(curve, column) < least).select(*[f"`{c}`" for c in docs.columns])

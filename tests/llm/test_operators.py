@@ -155,6 +155,9 @@ def test_toxic_documents_are_found(spark, none):
     kept = toxicity.keep_clean(docs, labels, F.col("doc_id") % 5 != 0)
     assert kept.columns == docs.columns and kept.where("doc_id is not null").count() == 202
     assert toxicity.toxicity(none, labels, F.lit(True)).count() == 0
+    clashing = docs.withColumn("__found", F.lit("a")).withColumn("__TEXT", F.lit("b"))
+    sampled = toxicity.keep_clean(clashing, labels, F.col("doc_id") % 5 != 0, most_labels=120)
+    assert sampled.columns == clashing.columns and 195 <= sampled.where("doc_id is not null").count() <= 210
     flat = toxicity.toxicity(docs, labels.where("toxic = 0"), F.lit(True))
     assert flat.select("score").distinct().count() == 1
 
