@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from corvane.lineage import cut
 from corvane.llm.components import across, extend, follow
+from corvane.llm.memory import lean
 from corvane.llm.wordhash import LOWER, mix, text_slices, windows, word_bounds, word_hashes
 
 HASHES = 64
@@ -230,7 +231,7 @@ def propose(classes: DataFrame, rows: int, how: dict) -> DataFrame:
     )
     parts = max(1, TREES * rows // 20_000)
     dealt = order.repartitionByRange(parts, "tree", "key", "cls").sortWithinPartitions("tree", "key", "cls")
-    scanned = cut(dealt.mapInArrow(scan, PROPOSED), "proposals")
+    scanned = cut(dealt.mapInArrow(lean(scan), PROPOSED), "proposals")
     stitched = scanned.where("edge is not null").groupBy("edge").applyInArrow(stitch, PROPOSED)
     return scanned.where("edge is null").unionByName(stitched).drop("edge", "row")
 
@@ -251,7 +252,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Dat
 
     side = lambda c: texts.select(F.col("cls").alias(c), F.col("text").alias(f"text_{c}"))
     full = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b")
-    return cut(full.mapInArrow(check, "a long, b long"), "links")
+    return cut(full.mapInArrow(lean(check), "a long, b long"), "links")
 
 
 def near_duplicates(
@@ -271,7 +272,7 @@ def near_duplicates(
     beyond; the result is the same.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    signed = cut(texts.mapInArrow(lambda batches: (sign(b, words) for b in batches), SIGNED), "signed")
+    signed = cut(texts.mapInArrow(lean(lambda batches: (sign(b, words) for b in batches)), SIGNED), "signed")
     real = signed.where("n_shingles > 0 and doc_id is not null")
     classes = cut(
         real.groupBy(F.col("low").alias("cls"), "high", "n_shingles")
@@ -293,7 +294,7 @@ def near_duplicates(
         side = F.broadcast(ids) if needed.count() <= most_broadcast else ids
         chosen = texts.join(side, "doc_id", "left_semi").select("doc_id", "text")
         # an id may stand at several texts: each goes to the class that its own set names
-        named = chosen.mapInArrow(lambda batches: map(name_classes, batches), "cls long, text string")
+        named = chosen.mapInArrow(lean(lambda batches: map(name_classes, batches)), "cls long, text string")
         return cut(named.join(needed.select("cls"), "cls", "left_semi").groupBy("cls").agg(F.first("text").alias("text")), "texts")
 
     def name_classes(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -313,7 +314,7 @@ def near_duplicates(
         member = classes.select("cls", "keys", every_tree().alias("tree")).select("cls", "tree", F.expr(f"substring({KEY}, 1, 4)").alias("region"))
         dense = member.join(regions, ["tree", "region"], "left_semi").select("cls").distinct()
         dense_texts = texts_for(dense)
-        longer = dense_texts.mapInArrow(lambda batches: (sign_long(b, words) for b in batches), "cls long, signature binary")
+        longer = dense_texts.mapInArrow(lean(lambda batches: (sign_long(b, words) for b in batches)), "cls long, signature binary")
         rows = cut(
             classes.drop("component", "signature").join(longer, "cls")
             .join(labels.select(F.col("node").alias("cls"), "component"), "cls", "left")

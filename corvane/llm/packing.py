@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from corvane.lineage import cut
 from corvane.llm import tokens
+from corvane.llm.memory import lean
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
@@ -184,7 +185,7 @@ def pack(
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(rows, types, strict=True)], names=names_of(MERGED))
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    placed = cut(texts.mapInArrow(pieces, PIECES), "pieces")
+    placed = cut(texts.mapInArrow(lean(pieces), PIECES), "pieces")
     left = placed.where("is_window").select(
         F.col("sequence_id").alias("window"), "sequence_id", F.lit(0).cast("long").alias("shift"),
         F.col("length").alias("fill"), F.shiftright("sequence_id", 40).alias("team"), F.lit(True).alias("is_open"),

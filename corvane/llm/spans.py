@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from corvane.llm.memory import give_back
 from corvane.llm.wordhash import inside_rows, text_slices, window_checks, windows, word_bounds, word_hashes
 
 COVER_PERIOD, COVER = 13, (0, 1, 3, 9)  # fixed values: every difference modulo 13 occurs between two members
@@ -318,13 +319,22 @@ def repeated_passages(
     arrow = to_arrow_schema(schema)
 
     def anchors_out(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        return send_anchors(key[0].as_py(), table, **how)
+        try:
+            return send_anchors(key[0].as_py(), table, **how)
+        finally:
+            give_back()
 
     def windows_out(key: tuple[pa.Scalar, ...], table: pa.Table, answers: pa.Table) -> pa.Table:
-        return send_windows(key[0].as_py(), table, answers, **how)
+        try:
+            return send_windows(key[0].as_py(), table, answers, **how)
+        finally:
+            give_back()
 
     def finish(table: pa.Table, answers: pa.Table) -> pa.Table:
-        return remove_repeats(table, answers, **how, join_words=join_words, schema=arrow)
+        try:
+            return remove_repeats(table, answers, **how, join_words=join_words, schema=arrow)
+        finally:
+            give_back()
 
     by_chunk = dealt.groupBy("chunk")
     shared = by_chunk.applyInArrow(anchors_out, RUNS).groupBy("bucket").applyInArrow(compare_anchors, ANSWERS)

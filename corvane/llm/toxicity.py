@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from corvane.lineage import cut
+from corvane.llm.memory import lean
 from corvane.llm.wordhash import LOWER, letter_runs, mix, text_slices, word_bounds, word_hashes
 
 SEPARATOR = letter_runs()
@@ -119,7 +120,7 @@ def count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn(texts: DataFrame, *, prior_share: float = 0.1, errors: float = 3.5, least_share: float = 0.64) -> Model | None:
     """All significant tokens of ``texts`` (columns ``toxic`` and ``text``), as many as the sample of labelled rows can hold."""
     counts = cut(
-        texts.select("toxic", "text").mapInArrow(count_tokens, COUNTS)
+        texts.select("toxic", "text").mapInArrow(lean(count_tokens), COUNTS)
         .groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")),
         "tokens",
     )
@@ -236,7 +237,7 @@ def find(docs: DataFrame, text_col: str, keep: list[str], model: Model, search_s
 
     rows = docs.select(F.col(f"`{text_col}`").alias(free_name("__text", keep)), *[F.col(f"`{c}`") for c in keep])
     schema = StructType([docs.schema[c] for c in keep]).add(found_col, StructType.fromDDL(FOUND))
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(lean(run), schema)
 
 
 def fit(
