@@ -4,11 +4,12 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from corvane.llm import coder, components, decontam, forest, language, neighbours, packing, queries, spans, toxicity, urls
+from corvane.llm import coder, components, decontam, forest, language, neighbours, packing, queries, spans, tokens, toxicity, urls
 from tests.llm import plain
 
 DOCS = "doc_id long, text string, chunk int, rest string, n_words string, h int"  # names that the operators use themselves
@@ -381,6 +382,22 @@ def test_fit_cuts_between_characters():
     assert [bytes(data[a:b]).decode() for a, b in zip(starts, ends, strict=True)] == ["中" * 85, "中" * 85, "中" * 30, "ab"]
 
 
+def test_encoder_that_forgets_units_gives_the_same_ids(monkeypatch):
+    """A memory far too small for the text: frequent units stay, others are learnt again, the ids are the library's."""
+    monkeypatch.setattr(tokens, "MOST_UNITS", 120)
+    rng = random.Random(4)
+    words = ["the", "of", "naïve", "中文", "a"] + [f"w{i}x" for i in range(900)]
+    texts = [" ".join(rng.choices(words[:5], k=8) + rng.choices(words, k=20)) + rng.choice(["", "\n", " <|endoftext|> b"]) for _ in range(60)] + [None, ""]
+    with open(queries.bpe_file(), encoding="utf-8") as f:
+        encoder = tokens.Encoder(f.read())
+    for i in range(0, len(texts), 4):
+        for first, last, ids, offsets in encoder.encode(pa.array(texts[i : i + 4], pa.string())):
+            for row in range(first, last):
+                expected = encoder._tokenizer.encode(texts[i + row] or "", add_special_tokens=False).ids
+                assert ids[offsets[row - first] : offsets[row - first + 1]].tolist() == expected
+    assert 0 < len(encoder._keys) < 400 and len(encoder._first) == len(encoder._met) == len(encoder._keys)
+
+
 FOLDER = "/root/testdata/sf0.001"
 
 
