@@ -1,7 +1,10 @@
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from corvane.lineage import shared_folder
 from corvane.operators import classifiers as c, clusters as k, experiments as e, neighbours as n, scores as s, vectors as v
 
 
@@ -56,6 +59,35 @@ def test_neighbours_stay_in_their_group(spark):
         assert found == brute(mine, mine, 3, 2)
 
 
+@pytest.mark.parametrize("p", [1, 2])
+def test_neighbours_in_other_folds(spark, p):
+    df = blobs(spark, (40, 30), seed=3).withColumn("fold", F.col("id") % 5)
+    rows, found = df.collect(), {}
+    for r in n.nearest_neighbours(df, df, 6, "id", "id", "v", apart="fold", p=p, block=9).orderBy("query", "rank").collect():
+        found.setdefault(r["query"], []).append(r.point)
+    assert found == {r.id: brute([x for x in rows if x.fold != r.fold], [r], 6, p)[r.id] for r in rows}
+
+
+def test_a_search_in_many_dimensions_copies_rows_to_few_tasks(spark):
+    df = blobs(spark, (3000, 3000), dim=32, gap=0.1).repartition(4)
+    folder = shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    near = n.nearest_neighbours(df, df, 3, "id", "id", "v")
+    assert near.filter("rank = 1 and query = point").count() == 6000
+    assert set(os.listdir(folder)) == before  # no table of copies
+
+
+def test_equal_rows_decide_without_a_search(spark, monkeypatch):
+    rows = [(1, [0.0], 0), (2, [0.0], 0), (3, [0.0], 1), (4, [5.0], 1), (5, [5.0], 0), (6, [5.5], 0), (7, [9.0], 1)]
+    df = spark.createDataFrame(rows, "id int, v array<float>, y int")
+    searched = []
+    plain = c.nearest_neighbours
+    monkeypatch.setattr(c, "nearest_neighbours", lambda q, *a: searched.extend(r.id for r in q.collect()) or plain(q, *a))
+    got = {r.id: r.predicted for r in c.knn_classify(df, df, "id", "v", "y", k=4).collect()}
+    # one hit each at 5.0: the nearer of the others, 5.5, decides
+    assert got == {1: 0, 2: 0, 3: 0, 4: 0, 5: 0, 6: 0, 7: 1} and sorted(searched) == [4, 5]
+
+
 def test_votes_by_distance_and_exact_hits(spark):
     near = spark.createDataFrame(
         [(1, 0.5, 0), (1, 1.0, 1), (1, 1.0, 1), (2, 0.0, 1), (2, 0.1, 0), (2, 0.1, 0)], "query int, dist double, y int"
