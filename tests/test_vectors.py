@@ -215,6 +215,12 @@ def test_word_and_document_vectors(spark):
     assert {len(r.vector) for r in v.document_vectors(model, df).collect()} == {4}
 
 
+def test_training_tasks_follow_the_rows_up_to_the_cores(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert v.training_parts(spark.range(9), rows=10) == 1 and v.training_parts(spark.range(9), least=4, rows=10) == 4
+    assert v.training_parts(spark.range(30), rows=10) == 3 and v.training_parts(spark.range(10_000), rows=10) == cores
+
+
 def test_embedding_against_communities(spark):
     df = blobs(spark, (4, 3)).select(F.concat(F.lit("w"), "id").alias("word"), "v", "y")
     parts = df.select(F.col("word").alias("id"), F.col("y").alias("community"))
