@@ -11,13 +11,17 @@ summaries of narrow cells instead (``clusters.birch``).
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from corvane.lineage import GrowingTable, cut
 
-BLOCK = 2048  # clusters
+BLOCK = 2048  # clusters that one task merges to the end
+SEARCH_BYTES = 32 << 20  # of the means on either side of a search task
+QUERY_CHUNK, ROW_CHUNK = 256, 8192
 TREE = "low long, high long, cost double, n long"
 NEAREST = "id long, cost double, near long"
 
@@ -60,27 +64,44 @@ def merge_all(ids: np.ndarray, n: np.ndarray, means: np.ndarray) -> list[tuple[i
     return out
 
 
-def nearest(asking: DataFrame, clusters: DataFrame, blocks: int) -> DataFrame:
+def grid(asking: int, clusters: int, width: int, tasks: int) -> tuple[int, int]:
+    """Blocks of asking clusters and of all: enough for ``tasks``, none over ``SEARCH_BYTES``, few bytes sent."""
+    most = max(1, SEARCH_BYTES // (8 * max(width, 1)))
+    even = min(-(-clusters // QUERY_CHUNK), math.ceil(math.sqrt(tasks * clusters / max(asking, 1))))
+    theirs = max(1, -(-clusters // most), min(even, tasks))
+    return max(1, -(-asking // most), min(-(-tasks // theirs), asking // QUERY_CHUNK)), theirs
+
+
+def nearest(asking: DataFrame, clusters: DataFrame, blocks: tuple[int, int]) -> DataFrame:
     """The nearest other cluster of each asking one, the smaller name among equals."""
 
     def run(ours: pa.Table, theirs: pa.Table) -> pa.Table:
         id_a, n_a, mean_a = columns_of(ours.rename_columns([c.removeprefix("asking_") for c in ours.column_names]))
         id_b, n_b, mean_b = columns_of(theirs.sort_by("id"))
         best, near = np.full(len(id_a), np.inf), np.zeros(len(id_a), dtype=np.int64)
-        for first in range(0, len(id_a) if len(id_b) else 0, 256):
-            part = slice(first, first + 256)
-            cost = costs(n_a[part], mean_a[part], n_b, mean_b)
-            cost[id_a[part, None] == id_b] = np.inf
-            at = cost.argmin(axis=1)
-            best[part], near[part] = cost[np.arange(len(at)), at], id_b[at]
+        for first in range(0, len(id_a), QUERY_CHUNK):
+            part = slice(first, first + QUERY_CHUNK)
+            for start in range(0, len(id_b), ROW_CHUNK):
+                run = slice(start, start + ROW_CHUNK)
+                cost = costs(n_a[part], mean_a[part], n_b[run], mean_b[run])
+                # a cluster is not its own neighbour; names ascend
+                own = np.searchsorted(id_b[run], id_a[part])
+                own[own == cost.shape[1]] = 0
+                mine = np.flatnonzero(id_b[run][own] == id_a[part])
+                cost[mine, own[mine]] = np.inf
+                at = cost.argmin(axis=1)
+                least = cost[np.arange(len(at)), at]
+                less = least < best[part]
+                best[part] = np.where(less, least, best[part])
+                near[part] = np.where(less, id_b[run][at], near[part])
         kept = np.isfinite(best)
         return pa.table({"id": id_a[kept], "cost": best[kept], "near": near[kept]})
 
-    block = lambda c, salt: F.pmod(F.xxhash64(c, F.lit(salt)), F.lit(blocks)).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    block = lambda c, side: F.pmod(F.xxhash64(c, F.lit(side + 1)), F.lit(blocks[side])).cast("int")
+    every = lambda side: F.explode(F.sequence(F.lit(0), F.lit(blocks[side] - 1)))
     renamed = [F.col(c).alias(f"asking_{c}") for c in ("id", "n", "mean")]
-    ours = asking.select(*renamed, block("id", 1).alias("a"), every.alias("b")).groupBy("a", "b")
-    theirs = clusters.select("id", "n", "mean", block("id", 2).alias("b"), every.alias("a")).groupBy("a", "b")
+    ours = asking.select(*renamed, block("id", 0).alias("a"), every(1).alias("b")).groupBy("a", "b")
+    theirs = clusters.select("id", "n", "mean", block("id", 1).alias("b"), every(0).alias("a")).groupBy("a", "b")
     found = ours.cogroup(theirs).applyInArrow(run, NEAREST)
     best = F.min(F.struct("cost", "near")).alias("best")
     return found.groupBy("id").agg(best).select("id", "best.cost", "best.near")
@@ -99,13 +120,13 @@ def ward_tree(df: DataFrame, key: str, vector: str, finish: int = BLOCK) -> tupl
     others = rows.join(clusters.select("mean", F.col("id").alias("low"), F.col("n").alias("of")).where("of > 1"), "mean").where("id <> low")
     tree.append(others.select("low", F.col("id").alias("high"), F.lit(0.0).alias("cost"), F.lit(0).cast("long").alias("n")))
     left, known = clusters.count(), None
+    width, tasks = (clusters.select(F.size("mean")).first() or [1])[0], 3 * spark.sparkContext.defaultParallelism
     while left > finish:
-        blocks = -(-left // BLOCK)
         if known is None:
-            found = nearest(clusters, clusters, blocks)
+            found = nearest(clusters, clusters, grid(left, left, width, tasks))
         else:
-            stale = clusters.join(known.select("id"), "id", "left_anti")
-            found = known.unionByName(nearest(stale, clusters, blocks))
+            stale = cut(clusters.join(known.select("id"), "id", "left_anti"), "stale")
+            found = known.unionByName(nearest(stale, clusters, grid(stale.count(), left, width, tasks)))
         found = cut(found, "nearest")
         # a pair that names each other is there twice
         pair = found.select(F.least("id", "near").alias("low"), F.greatest("id", "near").alias("high"), "cost")

@@ -96,3 +96,17 @@ def test_ward_labels_with_equal_rows(spark):
     df = spark.createDataFrame(rows, "key long, v array<double>")
     found = {r.key: r.label for r in clusters.cluster(df, "key", "v", "ward_tree", 2, finish=4).collect()}
     assert len(found) == 30 and len({found[i] for i in range(30) if i % 3 > 1} | {2 + found[i] for i in range(30) if i % 3 < 2}) == 2
+
+
+def test_ward_search_in_small_blocks_and_its_shape(spark, monkeypatch):
+    monkeypatch.setattr(hierarchy, "ROW_CHUNK", 7)
+    draw = np.random.default_rng(4)
+    means, n = draw.normal(size=(40, 3)), draw.integers(1, 5, 40)
+    df = spark.createDataFrame([(i * 3, int(n[i]), means[i].tolist()) for i in range(40)], "id long, n long, mean array<double>")
+    got = {r.id: r.near for r in hierarchy.nearest(df.filter("id < 60"), df, (2, 3)).collect()}
+    cost = hierarchy.costs(n.astype(float), means, n.astype(float), means)
+    np.fill_diagonal(cost, np.inf)
+    assert got == {i * 3: int(cost[i].argmin()) * 3 for i in range(20)}
+    # what is sent grows with the rows, not with their square
+    sent = lambda rows: sum(x * rows for x in hierarchy.grid(rows, rows, 64, 36))
+    assert sent(60_000) == 12 * 60_000 and sent(600_000) <= 20 * 600_000
