@@ -9,7 +9,7 @@ threshold become candidates, and candidates become links only on the full sets o
 In a dense region each class proposes its ``best`` candidates of each order.  Once these are confirmed and joined into
 components, the orders of such regions are run once more for all pairs across components, so the proposals left out
 the first time lose nothing.  Sets that share a long passage but are no near duplicates crowd there too, so this pass
-compares signatures of 384 hashes, whose mark lies more than twice as near to the threshold, and moves texts for fewer pairs.
+compares signatures of 1,536 hashes, whose mark lies five times as near to the threshold, and proposes and moves texts for fewer pairs.
 
 Orders are range-partitioned by their full keys, so a region with a third of all rows is spread over tasks, and the
 ends of neighbouring partitions are compared in a second step.
@@ -34,7 +34,7 @@ from corvane.llm.memory import lean
 from corvane.llm.wordhash import LOWER, mix, text_slices, windows, word_bounds, word_hashes
 
 HASHES = 64
-LONG_HASHES = 384  # of the sets in dense regions
+LONG_HASHES, FIRST_HASHES = 1536, 384  # of the sets in dense regions; those compared before the others
 TREES = 16
 ARITY = 4  # hashes a tree moves on from its predecessor
 DEPTH = 8
@@ -130,7 +130,7 @@ class Order:
         self.cls, self.size, self.component = number("cls"), number("n_shingles"), number("component")
         self.signature = fixed("signature", len(table["signature"][0].as_py()) if n else HASHES)
 
-    def pairs(self, *, reach: int, best: int, low: int, ratio: float, by_component: bool, old: int = 0):
+    def pairs(self, *, reach: int, best: int, similar: float, by_component: bool, old: int = 0):
         """Candidates (later row, earlier row, equal hashes, whether its row has more), for later rows from ``old`` on."""
         region = np.zeros(len(self.tree), dtype=bool)
         region[1:] = (self.tree[1:] == self.tree[:-1]) & (self.keys[1:, :4] == self.keys[:-1, :4]).all(axis=1)
@@ -144,12 +144,16 @@ class Order:
                 break
             at = at[self.component[at] != self.component[at - lag]]
             small, large = np.minimum(self.size[at], self.size[at - lag]), np.maximum(self.size[at], self.size[at - lag])
-            at = at[small >= ratio * large]
-            same = (self.signature[at] == self.signature[at - lag]).sum(axis=1)
-            keep = same >= low
-            rows.append(at[keep])
-            others.append(at[keep] - lag)
-            alike.append(same[keep])
+            at = at[small >= similar * large]
+            same = np.zeros(len(at), dtype=np.int64)
+            for start in range(0, self.signature.shape[1], FIRST_HASHES):
+                part = slice(start, start + FIRST_HASHES)
+                same += (self.signature[at, part] == self.signature[at - lag, part]).sum(axis=1)
+                keep = same >= mark(min(part.stop, self.signature.shape[1]), similar)
+                at, same = at[keep], same[keep]
+            rows.append(at)
+            others.append(at - lag)
+            alike.append(same)
         if not rows:
             none = np.zeros(0, dtype=np.int64)
             return none, none, none, none.astype(bool)
@@ -281,7 +285,7 @@ def near_duplicates(
         "classes",
     )
     similar = percent / 100
-    how = {"reach": reach, "best": best, "low": mark(HASHES, similar), "ratio": similar, "by_component": False}
+    how = {"reach": reach, "best": best, "similar": similar, "by_component": False}
     proposed = cut(propose(classes, classes.count(), how), "proposed")
     pairs = cut(proposed.groupBy("a", "b").agg(F.max("alike").alias("alike")), "pairs")
 
@@ -321,7 +325,7 @@ def near_duplicates(
             .withColumn("component", F.coalesce("component", "cls")),
             "dense",
         )
-        again = propose(rows, rows.count(), how | {"best": reach, "low": mark(LONG_HASHES, similar), "by_component": True})
+        again = propose(rows, rows.count(), how | {"best": reach, "by_component": True})
         more = cut(again.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti"), "more")
         if not more.isEmpty():
             labels = extend(labels, confirm(more, dense_texts, words, percent))
