@@ -1,11 +1,13 @@
 """Clusters used as labels: the end-to-end compositions.
 
 Repeated hold-outs and folds live in one table with a ``run`` or ``fold`` column, so splitting,
-neighbour search and scoring are single jobs over all repetitions; only model fits are repeated.
+neighbour search and scoring are single jobs over all repetitions; only model fits are repeated. Vectors are kept once,
+with what each run does with them: between tasks only keys and labels travel once a run.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -16,7 +18,7 @@ from corvane.functions.person import inverted, thresholded
 from corvane.functions.vectors import distance
 from corvane.lineage import cut
 from corvane.operators import scores
-from corvane.operators.classifiers import dense_network, grid_search, knn_classify, linear_svm
+from corvane.operators.classifiers import dense_network, grid_search, knn_classify, knn_classify_runs, linear_svm
 from corvane.operators.clusters import cluster
 from corvane.operators.features import assign_folds, oversample, stratified_holdout
 from corvane.operators.fits import fit_each
@@ -36,11 +38,18 @@ def repeated_holdout(df: DataFrame, key: str, label: str, runs: int, fraction: f
     ).drop("__stratum")
 
 
+def holdout_runs(df: DataFrame, key: str, label: str, runs: int, fraction: float, seed: int) -> DataFrame:
+    """Every row once, with ``tests``, the runs of ``repeated_holdout`` in which it is a test row; only keys and labels are repeated."""
+    marked = repeated_holdout(df.select(key, label), key, label, runs, fraction, seed)
+    tests = marked.groupBy(key).agg(F.collect_set(F.when(F.col("split") == "test", F.col("run"))).alias("tests"))
+    return df.join(tests, key)
+
+
 def _cluster_runs(table: DataFrame, key: str, vector: str, algorithm: str, runs: int, k: int, seed: int, **o):
     """(run, key, cluster) of the training rows of every run."""
 
     def one(run: int) -> DataFrame:
-        train = table.filter((F.col("run") == run) & (F.col("split") == "train")).select(key, vector)
+        train = table.filter(~F.array_contains("tests", run)).select(key, vector)
         options = {**o, **({} if algorithm in ("spectral",) else {"seed": seed + run})}
         labels = cluster(train, key, vector, algorithm, k, **options)
         return labels.select(F.lit(run).alias("run"), key, F.col("label").alias("cluster"))
@@ -48,6 +57,26 @@ def _cluster_runs(table: DataFrame, key: str, vector: str, algorithm: str, runs:
     return reduce(DataFrame.unionByName, fit_each(table.sparkSession, one, range(1, runs + 1)))
 
 
+def clustered_runs(
+    df: DataFrame, key: str, vector: str, truth: str, algorithm: str, runs: int, k: int, fraction: float, seed: int, **options
+) -> DataFrame:
+    """Every row once, with ``clusters``: its cluster in each run, null in the runs that hold it out."""
+    table = cut(holdout_runs(df.select(key, vector, truth), key, truth, runs, fraction, seed), "runs")
+    found = _cluster_runs(table, key, vector, algorithm, runs, k, seed, **options)
+    named = found.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("run", "cluster"))).alias("by_run"))
+    of_run = F.transform(F.sequence(F.lit(1), F.lit(runs)), lambda run: F.try_element_at("by_run", run))
+    return cut(table.join(named, key, "left").select(key, vector, truth, of_run.alias("clusters")), "clusters")
+
+
+def _each_run(table: DataFrame) -> DataFrame:
+    """The rows of ``clustered_runs`` once per run, with ``run``, ``split`` and ``cluster``."""
+    others = [c for c in table.columns if c != "clusters"]
+    split = F.when(F.col("cluster").isNull(), "test").otherwise("train").alias("split")
+    return table.select(*others, F.posexplode("clusters").alias("run", "cluster")).select(
+        *others, (F.col("run") + 1).alias("run"), "cluster", split
+    )
+
+
 def majority_experiment(
     df: DataFrame,
     key: str,
@@ -65,25 +94,19 @@ def majority_experiment(
 
     Test rows take the class of the nearest centre. Returns (split, metric, value), means over runs.
     """
-    table = cut(repeated_holdout(df.select(key, vector, truth), key, truth, runs, fraction, seed), "runs", partition_by="run")
-    labels = cut(_cluster_runs(table, key, vector, algorithm, runs, k, seed, **options), "clusters")
-    members = table.join(labels, ["run", key])
-    centres = cut(centroids(members, "cluster", vector, by=["run"]), "centres")
-    placed = _with_centres_of_run(table, centres)
+    every = _each_run(clustered_runs(df, key, vector, truth, algorithm, runs, k, fraction, seed, **options))
+    centres = cut(centroids(every.filter("split = 'train'"), "cluster", vector, by=["run"]), "centres")
+    placed = _with_centres_of_run(every, centres)
     near = placed.filter("split = 'train'").withColumn("__c", F.explode("__centres")).select(
-        *table.columns, F.col("__c.id").alias("centre_id"), distance(F.col(vector), F.col("__c.at")).alias("dist")
+        "run", key, truth, F.col("__c.id").alias("centre_id"), distance(F.col(vector), F.col("__c.at")).alias("dist")
     )
     voters = nearest_to_centres(near, key, votes, by=["run"])
-    names = scores.majority_label(voters, ["run", "centre_id"], truth)
-    train = labels.select("run", key, F.col("cluster").alias("centre_id")).withColumn("split", F.lit("train"))
+    names = cut(scores.majority_label(voters, ["run", "centre_id"], truth), "names")
+    train = every.filter("split = 'train'").select("run", truth, "split", F.col("cluster").alias("centre_id"))
     test = placed.filter("split = 'test'").select(
-        "run", key, nearest_of(F.col(vector), F.col("__centres"))["centre_id"].alias("centre_id"), F.lit("test").alias("split")
-    )
-    scored = (
-        train.unionByName(test)
-        .join(names, ["run", "centre_id"])
-        .join(table.select("run", key, truth), ["run", key])
+        "run", truth, "split", nearest_of(F.col(vector), F.col("__centres"))["centre_id"].alias("centre_id")
     )
+    scored = train.unionByName(test).join(F.broadcast(names), ["run", "centre_id"])
     return _mean_by_split(scored, truth, "majority", ["run"])
 
 
@@ -92,7 +115,7 @@ def _with_centres_of_run(table: DataFrame, centres: DataFrame) -> DataFrame:
     mine = centres.groupBy("run").agg(
         F.collect_list(F.struct(F.col("cluster").alias("id"), F.col("centre").alias("at"))).alias("__centres")
     )
-    return table.join(mine, "run")
+    return table.join(F.broadcast(cut(mine, "centres")), "run")  # a row a run
 
 
 def _mean_by_split(scored: DataFrame, truth: str, predicted: str, repeat: Sequence[str]) -> DataFrame:
@@ -115,11 +138,9 @@ def knn_on_clusters(
     **options,
 ) -> DataFrame:
     """A neighbour classifier trained on cluster labels, scored against the truth, means over runs."""
-    table = cut(repeated_holdout(df.select(key, vector, truth), key, truth, runs, fraction, seed), "runs", partition_by="run")
-    labels = cut(_cluster_runs(table, key, vector, algorithm, runs, k, seed, **options), "clusters")
-    train = table.filter("split = 'train'").join(labels, ["run", key])
-    predicted = knn_classify(train, table, key, vector, "cluster", neighbours, "distance", by="run")
-    scored = predicted.join(table.select("run", key, "split", truth), ["run", key])
+    table = clustered_runs(df, key, vector, truth, algorithm, runs, k, fraction, seed, **options)
+    predicted = knn_classify_runs(table, key, vector, "clusters", neighbours, math.ceil(1.5 * neighbours / (1 - fraction)) + 10)
+    scored = predicted.join(_each_run(table.drop(vector)).select("run", key, "split", truth), ["run", key])
     return _mean_by_split(scored, truth, "predicted", ["run"])
 
 
