@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corvane.functions.text import fold_accents
+from corvane.lineage import cut
 from corvane.operators import cooccurrence, mentions
 from corvane.operators.graph_stats import nodes_of
 
@@ -47,13 +48,15 @@ def document_mentions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def mention_graph(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    found = document_mentions(spark, folder)
-    return cooccurrence.mention_nodes(found), cooccurrence.mention_edges(found, ["doc_id", "line_no"])
+    """Written once: its users read nodes and edges many times, and each time would read all texts again."""
+    found = cut(document_mentions(spark, folder).select("doc_id", "line_no", "entity"), "mentions")
+    edges = cooccurrence.mention_edges(found, ["doc_id", "line_no"])
+    return cut(cooccurrence.mention_nodes(found), "nodes"), cut(edges, "edges")
 
 
 def part_graph(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Parts that were ordered together at least twice."""
-    edges = cooccurrence.cooccurrence_edges(table(spark, folder, "lineitem"), "l_orderkey", "l_partkey", 2)
+    """Parts that were ordered together at least twice; the edges are counted once and written."""
+    edges = cut(cooccurrence.cooccurrence_edges(table(spark, folder, "lineitem"), "l_orderkey", "l_partkey", 2), "edges")
     return nodes_of(edges), edges
 
 
