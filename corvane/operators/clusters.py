@@ -175,16 +175,19 @@ def spectral(
     iterations: int = 20,
 ) -> DataFrame:
     """Power iteration (Lin & Cohen, 2010) on Gaussian weights between near neighbours."""
-    near = nearest_neighbours(df, df, neighbours + 1, key, key, vector).filter("query <> point")
-    weighted = near.select(
+    found = nearest_neighbours(df, df, neighbours + 1, key, key, vector).filter("query <> point")
+    near = cut(found.select("query", "point", "dist"), "near")
+    pairs = near.select(
         F.least("query", "point").alias("src"),
         F.greatest("query", "point").alias("dst"),
         F.exp(-F.lit(gamma) * F.col("dist") * F.col("dist")).alias("w"),
-    ).groupBy("src", "dst").agg(F.max("w").alias("w"))
+    )
+    # the iterations send a point's value to every part that holds an edge of it, so edges lie by their end
+    weighted = cut(pairs.repartition("src").groupBy("src", "dst").agg(F.max("w").alias("w")), "weighted")
     pic = PowerIterationClustering(
         k=k, maxIter=iterations, initMode="degree", srcCol="src", dstCol="dst", weightCol="w"
     )
-    found = pic.assignClusters(weighted).select(F.col("id").alias(key), F.col("cluster").alias("label"))
+    found = cut(pic.assignClusters(weighted).select(F.col("id").alias(key), F.col("cluster").alias("label")), "labels")
     # a point whose every neighbour was also cut off takes the label of its nearest labelled point
     alone = near.join(found.select(F.col(key).alias("query")), "query", "left_anti")
     nearest = Window.partitionBy("query").orderBy("dist", "point")

@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from corvane.lineage import cut
 from corvane.operators.ranking import running_totals
 
 METRICS = ("accuracy", "precision", "recall", "fscore", "bcr", "auc")
@@ -109,6 +110,7 @@ def contingency(df: DataFrame, a: str, b: str, by: Sequence[str] = ()) -> DataFr
 
 def pair_counts(table: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Pairs of rows together in both labelings, in each one, and in total."""
+    table = cut(table, "counts")  # read four times
     both = table.groupBy(*by).agg(F.sum(_pairs(F.col("n"))).alias("v"), F.sum("n").alias("rows"))
     side = lambda c: table.groupBy(*by, c).agg(F.sum("n").alias("n")).groupBy(*by).agg(
         F.sum(_pairs(F.col("n"))).alias("v")
