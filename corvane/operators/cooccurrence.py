@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corvane.lineage import cut
 
+TASK_PAIRS = 1_000_000  # what a task may hold while it combines equal pairs
+
 
 def _pairs_of(df: DataFrame, members: str, *carry: str) -> DataFrame:
     """Unordered pairs of a sorted array, one member at a time so that no pair array is built."""
@@ -23,6 +25,12 @@ def _pairs_of(df: DataFrame, members: str, *carry: str) -> DataFrame:
     )
 
 
+def _small_pairs(rows: DataFrame, pairs: int) -> DataFrame:
+    """Pairs of the small groups in ``rows``, of which there are ``pairs``: a task yields about ``TASK_PAIRS`` before they are combined."""
+    parts = max(rows.sparkSession.sparkContext.defaultParallelism, -(-pairs // TASK_PAIRS))
+    return _pairs_of(rows.repartition(parts, "g").groupBy("g").agg(F.sort_array(F.collect_list("i")).alias("m")), "m")
+
+
 def mention_edges(mentions: DataFrame, group: Sequence[str], entity: str = "entity") -> DataFrame:
     """Entities of one paragraph are linked; the weight is the number of shared paragraphs.
 
@@ -54,14 +62,16 @@ def cooccurrence_edges(
     rows = cut(named.distinct(), "members")
     sizes = rows.groupBy("g").agg(F.count("*").alias("n"))
     large = sizes.filter(F.col("n") > light)
-    if large.isEmpty():
-        pairs = _pairs_of(rows.groupBy("g").agg(F.sort_array(F.collect_list("i")).alias("m")), "m")
+    formed = F.when(F.col("n") <= light, F.col("n") * (F.col("n") - 1) / 2).otherwise(0).cast("bigint")
+    n_large, n_pairs = sizes.agg(F.count_if(F.col("n") > light), F.coalesce(F.sum(formed), F.lit(0))).first()
+    if not n_large:
+        pairs = _small_pairs(rows, n_pairs)
         counted = pairs.groupBy("src", "dst").agg(F.count("*").alias("weight"))
         return counted.filter(F.col("weight") >= min_weight)
 
     large = cut(large, "large")
     small_rows = rows.join(large, "g", "left_anti")
-    near = _pairs_of(small_rows.groupBy("g").agg(F.sort_array(F.collect_list("i")).alias("m")), "m")
+    near = _small_pairs(small_rows, n_pairs)
     dense = cut(rows.join(large, "g"), "dense")
     far = _blocked_pairs(_without_largest(dense, min_weight - 1), light)
     candidates = cut(

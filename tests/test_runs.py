@@ -3,7 +3,8 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from corvane.operators import classifiers as c, experiments as e
+from corvane.operators import classifiers as c, cooccurrence as co, experiments as e
+from corvane.plans import tables
 
 
 def _rows(spark, n=90, seed=3):
@@ -39,3 +40,25 @@ def test_hold_outs_keep_a_row_once_with_the_splits_of_the_long_form(spark):
     want = {(r.run, r.id) for r in long.collect()}
     kept = e.holdout_runs(rows, "id", "y", 4, 0.2, 1).collect()
     assert len(kept) == 90 and {(t, r.id) for r in kept for t in r.tests} == want
+
+
+def test_pairs_are_formed_in_tasks_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(co, "TASK_PAIRS", 10)
+    rows = spark.createDataFrame([(g, (g + i) % 40) for g in range(60) for i in range(4)], "g int, i int")
+    assert co._small_pairs(rows, 360).rdd.getNumPartitions() >= 36
+    got = {(r.src, r.dst): r.weight for r in co.cooccurrence_edges(rows, "g", "i").collect()}
+    want = {}
+    for g in range(60):
+        items = sorted((g + i) % 40 for i in range(4))
+        for a in range(4):
+            for b in range(a):
+                want[(items[b], items[a])] = want.get((items[b], items[a]), 0) + 1
+    assert got == want
+
+
+def test_graphs_are_written_once(spark):
+    folder = "/root/testdata/sf0.001"
+    for graph in (tables.mention_graph, tables.part_graph):
+        for table in graph(spark, folder):
+            read = {p.split("/")[-2].split("-")[1] for p in table.inputFiles()}
+            assert read and read <= {"nodes", "edges"}, graph.__name__
