@@ -1,3 +1,4 @@
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from corvane.functions import stem, text as t
@@ -118,3 +119,14 @@ def test_column_functions_run_on_a_stream(spark):
         assert [r.v for r in spark.table("cleaned").collect()] == ["été"]
     finally:
         query.stop()
+
+
+def test_the_stemmer_takes_a_batch_apart_in_slices(monkeypatch):
+    monkeypatch.setattr(stem, "SLICE_BYTES", 20)
+    texts = ["running dogs", None, "", "a" * 70 + "s " + "cats " * 9, "éclairs ponies", "x"]
+    batches = [pa.array(texts, pa.string()), pa.array([], pa.string()), pa.array(["motoring"], pa.string())]
+    sizes = [len(x) for x in stem._slices(batches[0])]
+    assert len(sizes) > 2 and sum(sizes) == len(texts)
+    found = [x.to_pylist() for x in stem.stem_batches(iter(batches))]
+    assert found[1:] == [[], ["motor"]]
+    assert found[0] == [None if t is None else " ".join(stem.stem_word(w) for w in t.split()) for t in texts]
