@@ -148,14 +148,15 @@ def _rough(asked: np.ndarray, rows: np.ndarray, p: float):
                 target[i : i + PAIR_SLAB] = (part * part).sum(axis=1)
         top = max(own.max(initial=0), squares.max(initial=0))
         kind = np.float32 if 1e-25 < top < 1e25 else np.float64
+        # a row's square is one more component, met by a one: the product is the measure
         a, b = (_moved(x, mean, kind) for x in (asked, rows))
-        a *= kind(-2)
-        lengths = squares.astype(kind)
+        a[:, :width] *= kind(-2)
+        a[:, width], b[:, width] = 1, squares
+        room = np.empty(QUERY_CHUNK * ROW_CHUNK, dtype=kind)
 
         def by_product(at: np.ndarray, run: slice) -> np.ndarray:
-            found = a[at] @ b[run].T
-            found += lengths[run]
-            return found
+            theirs = b[run]
+            return np.matmul(a[at], theirs.T, out=room[: len(at) * len(theirs)].reshape(len(at), len(theirs)))
 
         return by_product, 4 * (width + 16) * float(np.finfo(kind).eps) * (own + top), 0.0
     kind = np.float32 if asked.dtype == rows.dtype == np.float32 and (p == 1 or np.isinf(p)) and largest < 1e30 else np.float64
@@ -182,9 +183,10 @@ def _rough(asked: np.ndarray, rows: np.ndarray, p: float):
 
 
 def _moved(x: np.ndarray, mean: np.ndarray, kind) -> np.ndarray:
-    out = np.empty(x.shape, dtype=kind)
+    """The vectors moved by ``mean``, with room for one more component."""
+    out = np.empty((len(x), x.shape[1] + 1), dtype=kind)
     for i in range(0, len(x), PAIR_SLAB):
-        out[i : i + PAIR_SLAB] = x[i : i + PAIR_SLAB] - mean
+        out[i : i + PAIR_SLAB, :-1] = x[i : i + PAIR_SLAB] - mean
     return out
 
 
@@ -310,27 +312,31 @@ def nearest_neighbours(
     most_queries = block or max(1, min(most_points // 4, BLOCK_BYTES // (32 * k)))
     pairs = max(1, sum(nq * ns for _, _, nq, ns in sizes))
     tasks, row, found = 3 * spark.sparkContext.defaultParallelism, 8 * width + 50, 80 * k  # bytes of a row and of what it finds
-    dealt = []
+    dealt, first, sent = [], 0, 0
     for g, cell, nq, ns in sizes:
         # enough blocks for all cores, in the shape that sends the fewest bytes, but none of a few rows only
         share = max(1, tasks * nq * ns // pairs)
         even = int((share * ns * row / (max(nq, 1) * (row + found))) ** 0.5)
         pbs = max(1, -(-ns // most_points), min(even, ns // 500))
-        dealt.append((g, cell, max(1, -(-nq // most_queries), min(-(-share // pbs), nq // 500)), pbs))
+        qbs = max(1, -(-nq // most_queries), min(-(-share // pbs), nq // 500))
+        dealt.append((g, cell, qbs, pbs, first))
+        first, sent = first + qbs * pbs, sent + (nq * pbs + ns * qbs) * row
     by_type = q.schema["by"].dataType
-    sizes = spark.createDataFrame(dealt, f"by {by_type.simpleString()}, cell int, qbs int, pbs int")
+    sizes = spark.createDataFrame(dealt, f"by {by_type.simpleString()}, cell int, qbs int, pbs int, first bigint")
     upto = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    block_pair = (F.col("first") + F.col("qb").cast("bigint") * F.col("pbs") + F.col("pb")).alias("pair")
     left = (
         q.join(F.broadcast(sizes), ["by", "cell"])
         .withColumn("qb", F.pmod(F.xxhash64("query"), F.col("qbs")).cast("int"))
-        .select("by", "cell", "qb", upto("pbs").alias("pb"), "query", "v", "part")
+        .select("*", upto("pbs").alias("pb"))
+        .select(block_pair, "by", "query", "v", "part")
     )
     right = (
         s.join(F.broadcast(sizes), ["by", "cell"])
         .withColumn("pb", F.pmod(F.xxhash64("point"), F.col("pbs")).cast("int"))
-        .select("by", "cell", "pb", upto("qbs").alias("qb"), "point", "v", "part", "carried")
+        .select("*", upto("qbs").alias("qb"))
+        .select(block_pair, "point", "v", "part", "carried")
     )
-    cell = ["by", "cell", "qb", "pb"]
     out = T.StructType(
         [
             T.StructField("by", by_type),
@@ -359,8 +365,11 @@ def nearest_neighbours(
         both |= {"dist": pa.array(found[2], pa.float64()), "rank": pa.array(found[3], pa.int32())}
         return pa.table({c: both[c] for c in names})
 
-    ranked = left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInArrow(best_of_block, out)
-    if any(pbs > 1 for *_, pbs in dealt):
+    # the work of two blocks is their pairs and not their bytes, by which Spark would put many into one task
+    parts = max(1, min(4 * first, 4 * tasks), sent // BLOCK_BYTES)
+    left, right = (d.repartition(parts, "pair").groupBy("pair") for d in (left, right))
+    ranked = left.cogroup(right).applyInArrow(best_of_block, out)
+    if any(pbs > 1 for *_, pbs, _ in dealt):
         order = Window.partitionBy("by", "query").orderBy("dist", "point")
         ranked = ranked.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select(

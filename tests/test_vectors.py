@@ -38,6 +38,16 @@ def test_neighbours_equal_brute_force(spark, p):
     assert found == brute(points.collect(), queries.collect(), 5, p)
 
 
+def test_pairs_of_blocks_are_dealt_by_number_and_sent_once(spark):
+    points = spark.createDataFrame([(i, [float(i % 7), float(i % 5)]) for i in range(60)], "id long, v array<double>")
+    near = n.nearest_neighbours(points, points, 3, "id", "id", "v", pivots=2, block=20)
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    dealt = [x for x in plan.splitlines() if "Exchange" in x and "pair" in x]
+    # bytes do not tell the work, so Spark must not put tasks together, nor send the rows a second time
+    assert len(dealt) == 2 and all("REPARTITION_BY_NUM" in x for x in dealt)
+    assert near.count() == 180
+
+
 def test_neighbours_with_few_points_and_copies(spark):
     points = spark.createDataFrame([(i, [0.0, 0.0]) for i in range(9)] + [(9, [1.0, 0.0])], "id int, v array<float>")
     got = n.nearest_neighbours(points, points, 20, "id", "id", "v", pivots=3, block=2)
