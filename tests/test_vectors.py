@@ -156,6 +156,14 @@ def features(spark):
     return df.select("id", "features", F.col("y").cast("double").alias("label"))
 
 
+def test_trees_are_not_sent_again_for_every_pass(spark):
+    df = features(spark).withColumn("label", (F.col("id") % 2).cast("double"))
+    for make in (lambda **o: c.forest(numTrees=3, **o), lambda **o: c.boosted(maxIter=2, maxDepth=3, **o)):
+        assert make().getCacheNodeIds()
+        kept, sent = (make(cacheNodeIds=x).fit(df).toDebugString.split("\n", 1)[1] for x in (True, False))
+        assert kept == sent
+
+
 def test_models_separate_the_blobs(spark):
     df = features(spark)
     models = {
