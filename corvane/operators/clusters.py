@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans, PowerIterationClustering
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from corvane.lineage import cut
 from corvane.operators.fits import fit_each
@@ -16,6 +18,9 @@ from corvane.operators.hierarchy import ward_labels
 from corvane.operators.kernels import spectral_embedding
 from corvane.operators.neighbours import nearest_neighbours
 
+WHOLE_CELL = 4096  # rows of a cell that one task halves to its end
+
+
 def with_features(df: DataFrame, vector: str, output: str = "features") -> DataFrame:
     return df.withColumn(output, array_to_vector(F.col(vector)))
 
@@ -128,7 +133,7 @@ def birch(
 
 
 def cell_radii(placed: DataFrame) -> DataFrame:
-    """(cell, radius, dim, at): root mean square distance to the mean; the widest feature and its mean."""
+    """(cell, n, radius, dim, at): rows; root mean square distance to the mean; the widest feature and its mean."""
     stats = placed.groupBy("cell").agg(
         F.count("*").alias("n"),
         vector_to_array(Summarizer.mean(F.col("features"))).alias("mean"),
@@ -137,33 +142,67 @@ def cell_radii(placed: DataFrame) -> DataFrame:
     total = F.aggregate("spread", F.lit(0.0), lambda acc, x: acc + x)
     dim = F.array_position("spread", F.array_max("spread")).cast("int")
     radius = F.when(F.col("n") > 1, F.sqrt(total * (F.col("n") - 1) / F.col("n"))).otherwise(0.0)
-    return stats.select("cell", radius.alias("radius"), dim.alias("dim"), F.get("mean", dim - 1).alias("at"))
-
-
-def narrow_cells(points: DataFrame, key: str, threshold: float) -> DataFrame:
+    return stats.select("cell", "n", radius.alias("radius"), dim.alias("dim"), F.get("mean", dim - 1).alias("at"))
+
+
+def halved(rows: np.ndarray, threshold: float) -> list[list[bool]]:
+    """For every row the sides it takes where its cell is halved, by the rule of ``narrow_cells``."""
+    paths: list[list[bool]] = [[] for _ in rows]
+    open_cells = [np.arange(len(rows))] if len(rows) > 1 else []
+    while open_cells:
+        cell = open_cells.pop()
+        x = rows[cell]
+        mean = x.mean(axis=0)
+        spread = ((x - mean) ** 2).sum(axis=0) / (len(x) - 1)
+        if np.sqrt(spread.sum() * (len(x) - 1) / len(x)) <= threshold:
+            continue
+        dim = spread.argmax()
+        right = x[:, dim] > mean[dim]
+        for i, side in zip(cell.tolist(), right.tolist()):
+            paths[i].append(side)
+        if right.any() and not right.all():
+            open_cells += [c for c in (cell[right], cell[~right]) if len(c) > 1]
+    return paths
+
+
+def narrow_cells(points: DataFrame, key: str, threshold: float, whole: int = WHOLE_CELL) -> DataFrame:
     """Points with a cell of radius at most ``threshold``.
 
-    Every round halves the cells that are too wide at the mean of their widest feature, so the rounds
-    follow the depth of the splits and not the number of cells. Cells are named by a hash of their
-    path. A cell whose points differ by less than rounding can show is left as it is.
+    Every round halves the cells that are too wide at the mean of their widest feature. Cells of at most ``whole`` rows
+    are halved to their end in one task each, so the rounds follow the depth down to such cells. Cells are named by a
+    hash of their path. A cell whose points differ by less than rounding can show is left as it is.
     """
-    done, open_cells = None, cut(points.select(key, "features", F.lit(0).cast("bigint").alias("cell")), "cells")
+    done, small = [], []
+    open_cells = cut(points.select(key, "features", F.lit(0).cast("bigint").alias("cell")), "cells")
     while True:
         radii = cut(cell_radii(open_cells), "radii")
-        wide = radii.filter(F.col("radius") > threshold).select("cell", "dim", "at")
-        kept = open_cells.join(wide.select("cell"), "cell", "left_anti").select(key, "features", "cell")
-        done = kept if done is None else done.unionByName(kept)
+        too_wide, few = F.col("radius") > threshold, F.col("n") <= whole
+        of = lambda rows, which: rows.join(radii.filter(which).select("cell"), "cell", "left_semi").select(key, "features", "cell")
+        done.append(of(open_cells, ~too_wide))
+        small.append(of(open_cells, too_wide & few))
+        wide = radii.filter(too_wide & ~few).select("cell", "dim", "at")
         if wide.isEmpty():
-            return cut(done, "cells")
+            break
         side = F.get(vector_to_array("features"), F.col("dim") - 1) > F.col("at")
         split = open_cells.join(wide, "cell").withColumn("right", side)
         halves = cut(split.select(key, "features", F.xxhash64("cell", "right").alias("cell"), F.col("cell").alias("was")), "cells")
         # rounding can leave all points of a cell on one side: such a cell is done
         parts = halves.groupBy("was").agg(F.min("cell").alias("a"), F.max("cell").alias("b"))
         stuck = cut(parts.filter("a = b").select("was"), "stuck")
-        done = done.unionByName(halves.join(stuck, "was").select(key, "features", "cell"))
+        done.append(halves.join(stuck, "was").select(key, "features", "cell"))
         open_cells = halves.join(stuck, "was", "left_anti").select(key, "features", "cell")
 
+    def finish(rows: pa.Table) -> pa.Table:
+        values = pa.concat_arrays([c.flatten() for c in rows["x"].chunks]).to_numpy(zero_copy_only=False)
+        paths = halved(values.reshape(rows.num_rows, -1), threshold)
+        return rows.append_column("path", pa.array(paths, pa.list_(pa.bool_())))
+
+    rows = reduce(DataFrame.unionByName, small).select(key, vector_to_array("features").alias("x"), "cell")
+    out = T.StructType([*rows.schema.fields, T.StructField("path", T.ArrayType(T.BooleanType()))])
+    name = F.aggregate("path", F.col("cell"), lambda cell, right: F.xxhash64(cell, right))
+    ended = rows.groupBy("cell").applyInArrow(finish, out).select(key, array_to_vector("x").alias("features"), name.alias("cell"))
+    return cut(reduce(DataFrame.unionByName, [*done, ended]), "cells")
+
 
 def spectral(
     df: DataFrame,

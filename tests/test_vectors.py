@@ -244,3 +244,15 @@ def test_embedding_against_communities(spark):
     parts = df.select(F.col("word").alias("id"), F.col("y").alias("community"))
     got = e.embedding_vs_community(df.drop("y"), parts).first()
     assert (got.n11, got.jaccard) == (9, 1.0)
+
+
+def test_small_cells_are_halved_in_one_task_to_the_same_cells(spark, monkeypatch):
+    rows = blobs(spark, (70, 50)).unionByName(spark.createDataFrame([(200 + i, [2.0, 2.0, 2.0], 0) for i in range(9)], "id int, v array<float>, y int"))
+    wide = k.with_features(rows, "v").select("id", "features")
+    cells = lambda whole: {r.id: r.cell for r in k.narrow_cells(wide, "id", 0.4, whole).collect()}
+    by_rounds, mixed = cells(0), cells(20)
+    written, plain = [], k.cut
+    monkeypatch.setattr(k, "cut", lambda *a: written.append(a[1]) or plain(*a))
+    assert cells(k.WHOLE_CELL) == mixed == by_rounds
+    assert len(by_rounds) == 129 and len(set(by_rounds.values())) > 50
+    assert written == ["cells", "radii", "cells"]
