@@ -75,3 +75,12 @@ def test_writing_twice_is_refused(spark, tmp_path):
     files.write_csv(spark.range(1), str(tmp_path / "x"))
     with pytest.raises(Exception):
         files.write_csv(spark.range(1), str(tmp_path / "x"))
+
+
+def test_shuffle_files_go_with_the_write_and_the_setting_comes_back(spark):
+    before = spark.conf.get(lineage.FREED, "false")
+    with lineage.freed_shuffles(spark):
+        with lineage.freed_shuffles(spark):
+            assert spark.conf.get(lineage.FREED) == "true"
+        assert spark.conf.get(lineage.FREED) == "true"
+    assert spark.conf.get(lineage.FREED, "false") == before
