@@ -21,7 +21,8 @@ from corvane.lineage import GrowingTable, cut
 
 BLOCK = 2048  # clusters that one task merges to the end
 SEARCH_BYTES = 32 << 20  # of the means on either side of a search task
-QUERY_CHUNK, ROW_CHUNK = 256, 8192
+QUERY_CHUNK, ROW_CHUNK, PAIR_SLAB, PENDING = 256, 4096, 16_384, 1_000_000
+FEW = 256  # clusters of a size, fewer of which are searched with those of other sizes
 TREE = "low long, high long, cost double, n long"
 NEAREST = "id long, cost double, near long"
 
@@ -72,28 +73,109 @@ def grid(asking: int, clusters: int, width: int, tasks: int) -> tuple[int, int]:
     return max(1, -(-asking // most), min(-(-tasks // theirs), asking // QUERY_CHUNK)), theirs
 
 
+def _runs(n: np.ndarray) -> list[tuple[int, int, bool]]:
+    """Runs of ascending sizes ``n``, at most ``ROW_CHUNK`` long: (first, end, whether all are of one size). Few of a size share a run."""
+    ends = [*(np.flatnonzero(n[1:] != n[:-1]) + 1).tolist(), len(n)] if len(n) else []
+    out, first, open_from = [], 0, None
+    for end in ends:
+        if end - first < FEW:
+            open_from = first if open_from is None else open_from
+        else:
+            if open_from is not None:
+                out.append((open_from, first, False))
+                open_from = None
+            out.append((first, end, True))
+        first = end
+    if open_from is not None:
+        out.append((open_from, len(n), False))
+    return [(i, min(i + ROW_CHUNK, end), even) for first, end, even in out for i in range(first, end, ROW_CHUNK)]
+
+
+def _cheapest(
+    id_a: np.ndarray, n_a: np.ndarray, mean_a: np.ndarray, id_b: np.ndarray, n_b: np.ndarray, mean_b: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """(cost, name) of the other cluster that each of ``a`` merges with at least cost, the smaller name among equals.
+
+    The clusters ``b`` ascend by size. They are measured in single precision with a bound on its rounding, and all that it leaves
+    is measured exactly, the same from either side. In a run of one size the costs of a cluster follow the gaps: the product of
+    the vectors, lengthened by their squares, is all there is to do for a pair.
+    """
+    best, near = np.full(len(id_a), np.inf), np.zeros(len(id_a), dtype=np.int64)
+    if not len(id_a) or not len(id_b):
+        return best, near
+    fine_a, fine_b = (np.isfinite(x).all(axis=1) for x in (mean_a, mean_b))
+    if not (fine_a.all() and fine_b.all()):
+        # rows without finite numbers are nobody's nearest and have none
+        a, b = ([x[fine] for x in side] for side, fine in (((id_a, n_a, mean_a), fine_a), ((id_b, n_b, mean_b), fine_b)))
+        best[fine_a], near[fine_a] = _cheapest(*a, *b)
+        return best, near
+    width = mean_a.shape[1]
+    centre = mean_b.mean(axis=0)
+    moved_a, moved_b = mean_a - centre, mean_b - centre
+    own, squares = ((x * x).sum(axis=1) for x in (moved_a, moved_b))
+    top = max(own.max(), squares.max())
+    kind = np.float32 if 1e-25 < top < 1e25 else np.float64
+    one = lambda x: np.ones((len(x), 1), kind)
+    a = np.concatenate([(-2 * moved_a).astype(kind), one(own), own[:, None].astype(kind)], axis=1)
+    b = np.concatenate([moved_b.astype(kind), squares[:, None].astype(kind), one(squares)], axis=1)
+    del moved_a, moved_b
+    slack = 4 * (width + 16) * float(np.finfo(kind).eps) * (own + top)  # of a gap
+    order = np.argsort(id_b)
+    place = np.minimum(np.searchsorted(id_b, id_a, sorter=order), len(id_b) - 1)
+    itself = np.where(id_b[order[place]] == id_a, order[place], -1)
+    room, runs = np.empty(QUERY_CHUNK * ROW_CHUNK, dtype=kind), _runs(n_b)
+    more = 1 + 8 * float(np.finfo(kind).eps)
+    for first in range(0, len(id_a), QUERY_CHUNK):
+        at = np.arange(first, min(first + QUERY_CHUNK, len(id_a)))
+        limit = np.full(len(at), np.inf)  # no cluster dearer than this is the cheapest
+        pending: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def settle() -> None:
+            q, r = (np.concatenate(x) for x in zip(*pending))
+            pending.clear()
+            cost = np.empty(len(q))
+            for i in range(0, len(q), PAIR_SLAB):
+                x, y = at[q[i : i + PAIR_SLAB]], r[i : i + PAIR_SLAB]
+                gap = mean_a[x] - mean_b[y]
+                cost[i : i + PAIR_SLAB] = (gap * gap).sum(axis=1) * (n_a[x] * n_b[y] / (n_a[x] + n_b[y]))
+            q, cost, name = np.concatenate([q, np.arange(len(at))]), np.concatenate([cost, best[at]]), np.concatenate([id_b[r], near[at]])
+            by = np.lexsort((name, cost, q))
+            lead = by[np.searchsorted(q[by], np.arange(len(at)))]
+            best[at], near[at] = cost[lead], name[lead]
+            np.minimum(limit, best[at], out=limit)
+
+        for start, end, even in runs:
+            value = np.matmul(a[at], b[start:end].T, out=room[: len(at) * (end - start)].reshape(len(at), end - start))
+            mine = np.flatnonzero((itself[at] >= start) & (itself[at] < end))
+            value[mine, itself[at[mine]] - start] = np.inf
+            factor = n_a[at] * n_b[end - 1] / (n_a[at] + n_b[end - 1])  # the largest of the run
+            if even:
+                least = value.min(axis=1).astype(float)
+                np.minimum(limit, (np.maximum(least, 0) + slack[at]) * factor * more, out=limit)
+                bound = limit / factor * more + slack[at]
+            else:
+                value /= (1 / n_a[at]).astype(kind)[:, None] + (1 / n_b[start:end]).astype(kind)
+                least = value.min(axis=1).astype(float)
+                np.minimum(limit, (np.maximum(least, 0) + slack[at] * factor) * more, out=limit)
+                bound = limit * more + slack[at] * factor
+            near_enough = np.flatnonzero((least <= bound) & np.isfinite(least))
+            if len(near_enough):
+                q, r = np.nonzero(value[near_enough] <= bound[near_enough, None])
+                pending.append((near_enough[q], r + start))
+                if sum(len(x[0]) for x in pending) > PENDING:
+                    settle()
+        if pending:
+            settle()
+    return best, near
+
+
 def nearest(asking: DataFrame, clusters: DataFrame, blocks: tuple[int, int]) -> DataFrame:
     """The nearest other cluster of each asking one, the smaller name among equals."""
 
     def run(ours: pa.Table, theirs: pa.Table) -> pa.Table:
         id_a, n_a, mean_a = columns_of(ours.rename_columns([c.removeprefix("asking_") for c in ours.column_names]))
-        id_b, n_b, mean_b = columns_of(theirs.sort_by("id"))
-        best, near = np.full(len(id_a), np.inf), np.zeros(len(id_a), dtype=np.int64)
-        for first in range(0, len(id_a), QUERY_CHUNK):
-            part = slice(first, first + QUERY_CHUNK)
-            for start in range(0, len(id_b), ROW_CHUNK):
-                run = slice(start, start + ROW_CHUNK)
-                cost = costs(n_a[part], mean_a[part], n_b[run], mean_b[run])
-                # a cluster is not its own neighbour; names ascend
-                own = np.searchsorted(id_b[run], id_a[part])
-                own[own == cost.shape[1]] = 0
-                mine = np.flatnonzero(id_b[run][own] == id_a[part])
-                cost[mine, own[mine]] = np.inf
-                at = cost.argmin(axis=1)
-                least = cost[np.arange(len(at)), at]
-                less = least < best[part]
-                best[part] = np.where(less, least, best[part])
-                near[part] = np.where(less, id_b[run][at], near[part])
+        id_b, n_b, mean_b = columns_of(theirs.sort_by([("n", "ascending"), ("id", "ascending")]))
+        best, near = _cheapest(id_a, n_a, mean_a, id_b, n_b, mean_b)
         kept = np.isfinite(best)
         return pa.table({"id": id_a[kept], "cost": best[kept], "near": near[kept]})
 

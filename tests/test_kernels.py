@@ -110,3 +110,31 @@ def test_ward_search_in_small_blocks_and_its_shape(spark, monkeypatch):
     # what is sent grows with the rows, not with their square
     sent = lambda rows: sum(x * rows for x in hierarchy.grid(rows, rows, 64, 36))
     assert sent(60_000) == 12 * 60_000 and sent(600_000) <= 20 * 600_000
+
+
+@pytest.mark.parametrize("few", [1, 40])
+def test_ward_search_is_exact_far_from_the_origin_and_between_near_ties(spark, monkeypatch, few):
+    monkeypatch.setattr(hierarchy, "FEW", few)
+    draw = np.random.default_rng(7)
+    # differences of single precision's last places, and of half of them in double precision far out
+    for means in (draw.integers(0, 40, (150, 3)) + 1e8, 1 + draw.integers(0, 40, (150, 3)) * 1e-6):
+        n = draw.integers(1, 5, 150)
+        rows = [(i, int(n[i]), [float(x) for x in means[i]]) for i in range(150)] + [(150, 1, [float("nan")] * 3)]
+        df = spark.createDataFrame(rows, "id long, n long, mean array<double>")
+        got = {r.id: (r.near, r.cost) for r in hierarchy.nearest(df, df, (2, 2)).collect()}
+        gaps = ((means[:, None] - means) ** 2).sum(axis=2) * (n[:, None] * n / (n[:, None] + n))
+        np.fill_diagonal(gaps, np.inf)
+        assert set(got) == set(range(150))
+        for i in range(150):
+            # the least cost, and the smaller name among equals
+            assert got[i][1] == pytest.approx(gaps[i].min(), rel=1e-9)
+            assert gaps[i, got[i][0]] == pytest.approx(gaps[i].min(), rel=1e-9)
+            assert got[i][0] <= int(gaps[i].argmin()) or gaps[i, got[i][0]] < gaps[i].min() * (1 + 1e-12)
+
+
+def test_ward_search_in_runs_of_one_size(monkeypatch):
+    monkeypatch.setattr(hierarchy, "FEW", 3)
+    monkeypatch.setattr(hierarchy, "ROW_CHUNK", 4)
+    sizes = np.array([1] * 9 + [2, 3] + [4] * 3 + [7])
+    assert hierarchy._runs(sizes) == [(0, 4, True), (4, 8, True), (8, 9, True), (9, 11, False), (11, 14, True), (14, 15, False)]
+    assert hierarchy._runs(sizes[:0]) == []
