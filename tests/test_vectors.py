@@ -256,3 +256,20 @@ def test_small_cells_are_halved_in_one_task_to_the_same_cells(spark, monkeypatch
     assert cells(k.WHOLE_CELL) == mixed == by_rounds
     assert len(by_rounds) == 129 and len(set(by_rounds.values())) > 50
     assert written == ["cells", "radii", "cells"]
+
+
+@pytest.mark.parametrize("p", [1, float("inf")])
+def test_sums_of_gaps_are_measured_in_levels_of_16_bits(p, monkeypatch):
+    draw = np.random.default_rng(5)
+    rows, plain, measured = draw.normal(size=(300, 64)).astype(np.float32), n._levels, []
+    monkeypatch.setattr(n, "_levels", lambda *a: measured.append(plain(*a)) or measured[-1])
+    part = draw.integers(0, 3, 300)
+    gaps = np.abs(rows[:, None].astype(float) - rows)
+    far = gaps.max(axis=2) if np.isinf(p) else gaps.sum(axis=2)
+    far[part[:, None] == part] = np.inf
+    q, r, d, rank = (np.concatenate(x) for x in zip(*n._nearest(rows, rows, 20, p, part, part)))
+    assert measured[0] is not None and len(q) == 6_000
+    assert (r[np.lexsort((rank, q))].reshape(300, 20) == np.argsort(far, axis=1, kind="stable")[:, :20]).all()
+    # no levels where one far row would make them coarse, nor where all rows are equal
+    assert plain(rows, np.concatenate([rows, np.full((1, 64), 1e4, np.float32)]), 1) is None
+    assert plain(rows[:1], rows[:1], p) is None and plain(rows[:0], rows, p) is None
